@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm.base import documents
+from lexmill.llm.base import documents, table
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm.toxicity import fit, held_out, labelled, toxicity
+
+    d = documents(spark, sf_dir, "doc_id", "text")
+    out = toxicity(d, fit(labelled(d, table(spark, sf_dir, "labels"))))
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted", "n_hits")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in sorted(globals().items()) if k.startswith("op") and k[2].isdigit()}
 
