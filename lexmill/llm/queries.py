@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from lexmill.llm.base import documents, table
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm.ngram_join import ngram_classes
+
+    return ngram_classes(documents(spark, sf_dir, "doc_id", "text"), size=3, num=90, den=100)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
