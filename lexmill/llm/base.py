@@ -69,20 +69,40 @@ def _weight(n: int) -> np.ndarray:
     return _weights
 
 
-def hash_words(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words of ``data``, split at ASCII white space, in order; equal in every process."""
+#: Bytes of letters and digits: those of ASCII and all beyond it.
+ALNUM = np.array([chr(i).isalnum() or i > 127 for i in range(256)])
+#: Bytes of a long text that are hashed at once.
+PART = 1 << 21
+
+
+def hash_words(data: bytes, inside: np.ndarray = ~_SPACE) -> np.ndarray:
+    """64-bit hashes of the words of ``data``, in order; equal in every process. Words are runs of the bytes ``inside``: by default, of those that aren't ASCII white space."""
+    if len(data) > PART and not inside[32]:
+        parts, start = [], 0
+        while start < len(data):
+            stop = data.find(b" ", start + PART)
+            stop = len(data) if stop < 0 else stop
+            parts.append(_hash_words(data[start:stop], inside))
+            start = stop
+        return np.concatenate(parts)
+    return _hash_words(data, inside)
+
+
+def _hash_words(data: bytes, inside: np.ndarray) -> np.ndarray:
     a = np.frombuffer(data, np.uint8)
-    word = ~_SPACE[a]
-    if not word.any():
-        return np.zeros(0, np.uint64)
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
+    word = inside[a]
+    edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
     starts, stops = edge[::2], edge[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
     lengths = stops - starts
-    at = np.flatnonzero(word)
-    firsts = np.cumsum(lengths) - lengths
-    place = np.arange(len(at)) - np.repeat(firsts, lengths)
-    part = (a[at].astype(np.uint64) + _U(1)) * _weight(int(lengths.max()))[place]
-    return mix(np.add.reduceat(part, firsts) + lengths.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    place = np.arange(len(a), dtype=np.int32)
+    place -= np.repeat(starts.astype(np.int32), np.diff(np.append(starts, len(a)))) if starts[0] == 0 else np.repeat(np.append(0, starts).astype(np.int32), np.diff(np.concatenate(([0], starts, [len(a)]))))
+    np.minimum(place, np.int32(lengths.max()), out=place)
+    part = _weight(int(lengths.max()) + 1)[place]
+    part *= a.astype(np.uint64) + _U(1)
+    part[~word] = 0
+    return mix(np.add.reduceat(part, starts) + lengths.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
@@ -93,9 +113,13 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return np.unique(ngrams(words, n))
 
 
+_spread = mix(np.arange(1, 65, dtype=np.uint64) * _U(0xC2B2AE3D27D4EB4F)) | _U(1)
+
+
 def ngrams(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of the n-grams in order; the length counts in the hash."""
-    out = np.full(max(0, len(words) - n + 1), _U(n), np.uint64)
+    """Hashes of the n-grams in order, for n up to 64; the length counts in the hash."""
+    m = max(0, len(words) - n + 1)
+    out = np.full(m, n * 0x9E3779B97F4A7C15 % (1 << 64), np.uint64)
     for i in range(n):
-        out = mix(out * _U(0x9E3779B97F4A7C15) + words[i : len(words) - n + 1 + i])
-    return out
+        out += words[i : i + m] * _spread[i]
+    return mix(out)

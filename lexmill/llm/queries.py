@@ -5,10 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexmill.llm.base import documents, table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm.decontaminate import contamination
+
+    found = contamination(documents(spark, sf_dir, "doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    best = F.transform(F.array_sort(F.transform("matches", lambda m: F.struct(-m["score"], m["item_id"]))), lambda x: x["item_id"])
+    return found.where(F.size("matches") > 0).select(
+        "doc_id",
+        F.try_element_at(best, F.lit(1)).alias("item_id"),
+        F.array_max(F.transform("matches", lambda m: m["score"])).alias("score"),
+        F.size("matches").alias("n_items"),
+        F.array_sort(F.transform("matches", lambda m: m["item_id"])).alias("item_ids"),
+    )
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm.ngram_join import ngram_classes
 
