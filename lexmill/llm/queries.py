@@ -24,6 +24,42 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm.preference import conversations, format_pairs, mask_text, sibling_pairs, stale_pairs
+
+    c = conversations(table(spark, sf_dir, "conversations"))
+    pairs = sibling_pairs(c).withColumn("kind", F.lit("sibling")).unionByName(stale_pairs(c).withColumn("kind", F.lit("stale")))
+    return format_pairs(pairs).select("chosen_id", "rejected_id", "kind", "n_prompt_turns", "prompt", "chosen_text", "rejected_text", mask_text("chosen_mask").alias("chosen_mask"), mask_text("rejected_mask").alias("rejected_mask"))
+
+
+OP5_SQL = """
+WITH c AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, 'unknown'), t := coalesce(text, '')) ORDER BY turn NULLS LAST, coalesce(role, 'unknown'), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), best AS (
+    SELECT turns[1] AS f, count(*) AS n, first(conv_id ORDER BY len(turns) DESC, list_sum(list_transform(turns, lambda x: length(x.t))) DESC, conv_id) AS id FROM c GROUP BY turns[1]
+), pairs AS (
+    SELECT b.id AS chosen_id, d.turns AS chosen, c.conv_id AS rejected_id, c.turns AS rejected, 'sibling' AS kind
+    FROM c JOIN best b ON b.f = c.turns[1] AND b.n > 1 AND b.id <> c.conv_id JOIN c d ON d.conv_id = b.id
+    UNION ALL
+    SELECT conv_id, turns, conv_id, list_transform(turns, lambda x, i: struct_pack(r := x.r, t := CASE WHEN i = a[len(a)] THEN CASE WHEN len(a) > 1 THEN turns[a[len(a) - 1]].t ELSE '' END ELSE x.t END)), 'stale'
+    FROM (SELECT *, list_filter(range(1, len(turns) + 1), lambda i: turns[i].r = 'assistant') AS a FROM c) WHERE len(a) > 0
+), cut AS (
+    SELECT *, list_filter(range(0, least(len(chosen), len(rejected)) + 1), lambda i: i = least(len(chosen), len(rejected)) OR chosen[i + 1] IS DISTINCT FROM rejected[i + 1])[1] AS k FROM pairs
+), rest AS (
+    SELECT chosen_id, rejected_id, kind, k, chosen[1:k] AS p, chosen[k + 1:] AS a, rejected[k + 1:] AS b FROM cut
+), shown AS (
+    SELECT *, list_transform(p, lambda x: '<|im_start|>' || x.r || chr(10) || x.t || '<|im_end|>' || chr(10)) AS ps,
+           list_transform(a, lambda x: '<|im_start|>' || x.r || chr(10) || x.t || '<|im_end|>' || chr(10)) AS sa,
+           list_transform(b, lambda x: '<|im_start|>' || x.r || chr(10) || x.t || '<|im_end|>' || chr(10)) AS sb FROM rest
+)
+SELECT chosen_id, rejected_id, kind, k::INTEGER AS n_prompt_turns, array_to_string(ps, '') AS prompt, array_to_string(sa, '') AS chosen_text, array_to_string(sb, '') AS rejected_text,
+    array_to_string(list_transform(list_filter(range(1, len(a) + 1), lambda i: a[i].r = 'assistant'), lambda i: (length(array_to_string(sa[1:i - 1], '')) + 22)::VARCHAR || '-' || (length(array_to_string(sa[1:i], '')) - 1)::VARCHAR), ',') AS chosen_mask,
+    array_to_string(list_transform(list_filter(range(1, len(b) + 1), lambda i: b[i].r = 'assistant'), lambda i: (length(array_to_string(sb[1:i - 1], '')) + 22)::VARCHAR || '-' || (length(array_to_string(sb[1:i], '')) - 1)::VARCHAR), ',') AS rejected_mask
+FROM shown
+"""
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm.ngram_join import ngram_classes
 
@@ -59,4 +95,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_preference_format": OP5_SQL}
