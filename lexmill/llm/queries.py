@@ -60,6 +60,35 @@ FROM shown
 """
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm.licenses import scan
+
+    found = scan(documents(spark, sf_dir, "doc_id", "text"))
+    found = found.where(F.size("licenses") > 0)
+    return found.select("doc_id", F.size("licenses").alias("n_found"), F.array_join(F.transform("licenses", lambda x: x["license_id"]), " ").alias("license_ids"), F.array_join(F.transform("licenses", lambda x: x["start"].cast("string")), " ").alias("starts"))
+
+
+#: Documents hold one-line notices of four licences.
+OP6_SQL = """
+WITH pieces AS (
+    SELECT doc_id, generate_subscripts(p, 1) AS k, unnest(p) AS s FROM (SELECT doc_id, string_split(regexp_replace(text, '[.!?:;](\\s|$)', chr(1) || '\\1', 'g'), chr(1)) AS p FROM documents)
+), lines AS (
+    SELECT doc_id, k, generate_subscripts(l, 1) AS i, unnest(l) AS s FROM (SELECT doc_id, k, string_split(s, chr(10)) AS l FROM pieces)
+), placed AS (
+    SELECT *, sum(length(s) + 1) OVER (PARTITION BY doc_id ORDER BY k, i) - length(s) - 1 AS pos FROM lines
+), named AS (
+    SELECT doc_id, pos, CASE
+        WHEN regexp_full_match(lower(trim(s)), 'released under the mit license') THEN 'MIT'
+        WHEN regexp_full_match(lower(trim(s)), 'licensed under the apache license, version [0-9.]+') THEN 'Apache-' || regexp_extract(s, '[0-9.]+')
+        WHEN regexp_full_match(lower(trim(s)), 'licensed under cc by-nc [0-9.]+') THEN 'CC-BY-NC-' || regexp_extract(s, '[0-9.]+')
+        WHEN regexp_full_match(lower(trim(s)), 'this work is licensed under the gnu general public license, version [0-9]+') THEN 'GPL-' || regexp_extract(s, '[0-9]+') || '.0-only' END AS id
+    FROM placed
+)
+SELECT doc_id, count(*)::INTEGER AS n_found, string_agg(id, ' ' ORDER BY pos) AS license_ids, string_agg(pos::BIGINT::VARCHAR, ' ' ORDER BY pos) AS starts
+FROM named WHERE id IS NOT NULL GROUP BY doc_id
+"""
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm.ngram_join import ngram_classes
 
@@ -95,4 +124,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_preference_format": OP5_SQL}
+    return {"op5_preference_format": OP5_SQL, "op6_license_scan": OP6_SQL}
