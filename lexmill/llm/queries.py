@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.base import documents, table
+from lexmill.llm.base import documents, spread, table
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,20 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm.warc import captures, read_archives, write_archives
+    from lexmill.session import new_path
+
+    path = new_path(spark, "warc")
+    write_archives(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")), path, min_bytes=0)
+    c = captures(read_archives(spark, path, with_payload=False)).where("response is not null")
+    page = F.regexp_extract(F.try_element_at("metadata", F.lit(1))["fields"], r"pageId: (-?\d+)", 1)
+    c = c.select("response.*", F.nullif(page, F.lit("")).cast("bigint").alias("page_id"))
+    origin = c.where("type = 'response'").select(F.col("record_id").alias("origin"), F.col("page_id").alias("origin_page"))
+    out = c.join(origin, c["refers_to"] == F.col("origin"), "left")
+    return out.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("origin_page").alias("refers_to"), "target_uri")
+
+
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm.preference import conversations, format_pairs, mask_text, sibling_pairs, stale_pairs
 
