@@ -25,9 +25,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = e.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
+        large = e.join(least, e["v"] == F.col("x"), "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
         lows = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lows, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lows.select("u", F.col("m").alias("v"))).distinct()
         nxt = stored(small, "cc")
