@@ -24,6 +24,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm.base import batches
+    from lexmill.llm.html_text import main_text
+
+    batches(spark)
+    return main_text(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm.warc import captures, read_archives, write_archives
     from lexmill.session import new_path
