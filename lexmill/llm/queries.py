@@ -134,10 +134,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lexmill.llm.toxicity import fit, held_out, labelled, toxicity
+    from lexmill.llm.toxicity import fit, held_out, toxicity, training_rows
 
     d = documents(spark, sf_dir, "doc_id", "text")
-    out = toxicity(d, fit(labelled(d, table(spark, sf_dir, "labels"))))
+    out = toxicity(d, fit(training_rows(d, table(spark, sf_dir, "labels"))))
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted", "n_hits")
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.base import text_or_empty
+from lexmill.session import stored
 
 # Look-alike letters of Greek and Cyrillic, and letters without a decomposition.
 _ALIKE = dict(zip("абвгдеёзийкмнорстухчьіїјѕԁԛԝһӏαβγδεζηικμνορστυχωοа", "abbrdeeзийkmhopctyxчbiijsdqwhlabydeznikuvopctuxwoa", strict=True))
@@ -118,16 +119,12 @@ def _counted(rows: DataFrame, count, schema: str = "term string, bad long, good
     return rows.mapInArrow(run, schema).groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
-def fit(rows: DataFrame, max_rows: int = 30_000, max_terms: int = 40_000, least: int = 4, phrases: tuple[str, ...] = ()) -> Lexicon:
-    """A lexicon of rows (id, text, toxic), learned from ``max_rows`` of them at most in expectation, dealt by a hash of the id.
+def fit(rows: DataFrame, max_terms: int = 40_000, least: int = 4, phrases: tuple[str, ...] = ()) -> Lexicon:
+    """A lexicon of training rows (id, text, toxic), as ``training_rows`` gives them.
 
-    Three passes over that sample: beginnings and words of toxic texts (the ``max_terms`` most frequent ones found in ``least`` texts or
+    Three passes: beginnings and words of toxic texts (the ``max_terms`` most frequent ones found in ``least`` texts or
     more), their counts in the other texts, and the features and exception phrases. Without rows of both classes the lexicon is empty.
     """
-    rows = rows.where("toxic is not null")
-    n = rows.count()
-    if n > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * max_rows / n))
     sizes = {int(r["toxic"]): r["count"] for r in rows.groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -252,7 +249,11 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows (id, text, toxic): those that aren't held out."""
-    y = labels.select(F.col("doc_id").alias("id"), "toxic").where("toxic is not null and id is not null").where(~held_out("id"))
-    return docs.select(F.col("doc_id").alias("id"), "text").join(y, "id")
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000) -> DataFrame:
+    """Rows (id, text, toxic) that aren't held out: all of them, or the ``max_rows`` whose ids have the smallest hashes.
+
+    Labels are reduced to that bound before they meet texts, so that they go to the workers (two numbers a row) and no text is shuffled.
+    """
+    y = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null and id is not null").where(~held_out("id"))
+    y = y.orderBy(F.xxhash64(F.lit(9), "id"), "id", "toxic").limit(max_rows)
+    return stored(docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(y), "id"), "labelled")
