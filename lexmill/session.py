@@ -63,7 +63,16 @@ def unstore(df: DataFrame) -> None:
         drop_path(df.sparkSession, path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, whatever the folder it was started in."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
