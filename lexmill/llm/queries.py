@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from lexmill.llm.base import documents, spread, table
 
 
+def op1_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm.embedding_graph import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm.decontaminate import contamination
 
