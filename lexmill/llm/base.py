@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexmill.session import spread, table
 
@@ -27,12 +28,15 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spread(d.select(*columns) if columns else d)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts together have about ``limit`` bytes; a longer text stands alone."""
     col = batch.column(column)
     if len(col) == 0:
         return
-    ends = np.cumsum(np.array([len(x) if x is not None else 0 for x in col.to_pylist()])) if col.nbytes > limit else np.zeros(len(col))
+    if col.nbytes <= limit:
+        yield batch
+        return
+    ends = np.cumsum([col.slice(i, 1).nbytes for i in range(len(col))])
     start = 0
     while start < len(col):
         stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + limit, side="right")))
@@ -44,6 +48,16 @@ def text_or_empty(col: pa.Array) -> list[str]:
     return [x or "" for x in col.to_pylist()]
 
 
+def carried(df: DataFrame, id_col: str, text_col: str, whole: bool) -> tuple[DataFrame, str, str]:
+    """(what goes to Python, the type of its first column, that column's name): all of a row as the struct ``row``, or the id and the text."""
+    source = df.select(F.struct(*(df[c] for c in df.columns)).alias("first")) if whole else df.select(df[id_col].alias("first"), df[text_col].alias("text"))
+    return source, source.schema["first"].dataType.simpleString(), "row" if whole else id_col
+
+
+def texts_of(batch: pa.RecordBatch, text_col: str, whole: bool) -> pa.Array:
+    return batch.column(0).field(text_col) if whole else batch.column("text")
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64

@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from lexmill.llm.base import ALNUM, hash_words, ngrams, slices, text_or_empty
+from lexmill.llm.base import ALNUM, carried, hash_words, ngrams, slices, text_or_empty, texts_of
 
 _U = np.uint64
 # Alignment: what equal words, other words and gaps add.
@@ -160,16 +161,18 @@ def _seeds(items: tuple, rates: tuple, n: int, rare: float) -> Seeds:
     return Seeds([(i, np.frombuffer(w, np.uint64)) for i, w in items], dict(rates), n, rare)
 
 
-def contamination(df: DataFrame, items: DataFrame, n: int = 3, rare: float = 1e-8, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def contamination(df: DataFrame, items: DataFrame, n: int = 3, rare: float = 1e-8, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", whole: bool = False) -> DataFrame:
     """(id, matches) of every row of ``df``; matches: an array of (item_id, score, first_word, end_word), one for each item that the text holds.
 
     The array is empty for clean, null and empty texts. Items that are null or have no words match nothing; equal items all match. Repeated
-    rows come out as often as they went in; other columns are ignored; empty tables give no rows, or rows without matches. Test items
-    go to the workers as an index of at most ITEM_WORDS words; more items are taken in blocks, each in a pass of its own.
+    rows come out as often as they went in; empty tables give no rows, or rows without matches. Test items go to the workers as an index of at
+    most ITEM_WORDS words (or one longer item); more items are taken in blocks, each a step of its own over the same rows, without a shuffle. With ``whole`` the first column is
+    ``row``, a struct of all columns of ``df`` whatever they are called; else other columns are ignored.
     """
-    docs = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
-    kind, item_kind = docs.schema["id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
-    schema = f"id {kind}, matches array<struct<item_id: {item_kind}, score: double, first_word: int, end_word: int>>"
+    source, kind, first = carried(df, id_col, text_col, whole)
+    item_type = items.schema[item_id].dataType
+    arrow = pa.list_(pa.struct([("item_id", to_arrow_type(item_type)), ("score", pa.float64()), ("first_word", pa.int32()), ("end_word", pa.int32())]))
+    schema = f"first {kind}, text string, matches array<struct<item_id: {item_type.simpleString()}, score: double, first_word: int, end_word: int>>"
     blocks: list[list] = [[]]
     size = 0
     for r in items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null").orderBy("i", "t").toLocalIterator():
@@ -180,24 +183,23 @@ def contamination(df: DataFrame, items: DataFrame, n: int = 3, rare: float = 1e-
                 size = 0
             size += len(w)
             blocks[-1].append((r["i"], w.tobytes()))
-    out = None
-    for block in blocks:
+    found = source
+    for k, block in enumerate(blocks):
         words = np.frombuffer(b"".join(w for _, w in block), np.uint64)
-        rates = tuple(sorted(word_rates(docs, words).items()))
+        rates = tuple(sorted(word_rates(df, words, text_col).items()))
         key = tuple(block)
 
-        def run(parts: Iterator[pa.RecordBatch], key=key, rates=rates) -> Iterator[pa.RecordBatch]:
+        def run(parts: Iterator[pa.RecordBatch], key=key, rates=rates, start=k == 0) -> Iterator[pa.RecordBatch]:
             seeds = _seeds(key, rates, n, rare)
-            for whole in parts:
-                for b in slices(whole):
-                    rows = [[dict(zip(("item_id", "score", "first_word", "end_word"), m, strict=True)) for m in matches(seeds, words_of(t), threshold)] if len(seeds.hash) else [] for t in text_or_empty(b.column("text"))]
-                    item_type = pa.int32() if item_kind == "int" else pa.int64() if item_kind == "bigint" else pa.string()
-                    yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(rows, pa.list_(pa.struct([("item_id", item_type), ("score", pa.float64()), ("first_word", pa.int32()), ("end_word", pa.int32())])))], ["id", "matches"])
-
-        part = docs.mapInArrow(run, schema)
-        if len(blocks) == 1:
-            return part.withColumnRenamed("id", id_col)
-        part = part.select("id", F.explode("matches").alias("m"))
-        out = part if out is None else out.unionByName(part)
-    found = out.groupBy("id").agg(F.array_sort(F.collect_set("m")).alias("matches"))
-    return docs.select("id").join(found, "id", "left").select(F.col("id").alias(id_col), F.coalesce("matches", F.array().cast(found.schema["matches"].dataType)).alias("matches"))
+            names = ("item_id", "score", "first_word", "end_word")
+            for whole_batch in parts:
+                for b in slices(whole_batch, 0 if whole else "text"):
+                    rows = [[] for _ in range(len(b))] if start else b.column("matches").to_pylist()
+                    for row, t in zip(rows, text_or_empty(texts_of(b, text_col, whole)), strict=True):
+                        if len(seeds.hash):
+                            row += [dict(zip(names, m, strict=True)) for m in matches(seeds, words_of(t), threshold)]
+                    text = pa.nulls(len(b), pa.string()) if whole else b.column("text")
+                    yield pa.RecordBatch.from_arrays([b.column(0), text, pa.array(rows, arrow)], ["first", "text", "matches"])
+
+        found = found.mapInArrow(run, schema)
+    return found.select(F.col("first").alias(first), "matches")

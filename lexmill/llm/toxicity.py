@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.base import text_or_empty
+from lexmill.llm.base import carried, text_or_empty, texts_of
 from lexmill.session import stored
 
 # Look-alike letters of Greek and Cyrillic, and letters without a decomposition.
@@ -221,27 +221,27 @@ def _automaton(key: tuple):
     return Lexicon(dict(key[0]), key[1]).matcher()
 
 
-def toxicity(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def toxicity(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """(id, score, predicted, n_hits) of every row: score in [0, 1], predicted 1 where it is 0.5 or more.
 
     Only the text counts. Null and empty texts have no hits and the score that the curve gives for none. Repeated rows come out as
-    often as they went in, other columns are ignored, an empty table gives no rows.
+    often as they went in, an empty table gives no rows. With ``whole`` the first column is ``row``, a struct of all columns of ``df``
+    whatever they are called; else other columns are ignored.
     """
-    source = df.select(df[id_col].alias("__id"), df[text_col].alias("text"))
-    kind = source.schema["__id"].dataType.simpleString()
+    source, kind, first = carried(df, id_col, text_col, whole)
     key, curve = (tuple(sorted(lexicon.terms.items())), tuple(lexicon.phrases)), lexicon.curve
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _automaton(key)
         for b in parts:
             scores, counts = [], []
-            for t in text_or_empty(b.column("text")):
+            for t in text_or_empty(texts_of(b, text_col, whole)):
                 f = features(m, t)
                 scores.append(score(curve, f))
                 counts.append(0 if f[2] == 0 else len(hits(m, fold(t))))
-            yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(counts, pa.int32())], ["__id", "score", "predicted", "n_hits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(counts, pa.int32())], ["first", "score", "predicted", "n_hits"])
 
-    return source.mapInArrow(run, f"__id {kind}, score double, predicted int, n_hits int").withColumnRenamed("__id", id_col)
+    return source.mapInArrow(run, f"first {kind}, score double, predicted int, n_hits int").withColumnRenamed("first", first)
 
 
 def held_out(id_col: str = "doc_id"):
