@@ -159,6 +159,6 @@ def mutual_information(df: DataFrame, a: str, b: str) -> DataFrame:
     c = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count("*").alias("n"))
     ca, cb = c.groupBy("a").agg(F.sum("n").alias("na")), c.groupBy("b").agg(F.sum("n").alias("nb"))
     t = c.agg(F.sum("n").alias("t"))
-    ent = lambda x, k: x.join(F.broadcast(t)).agg(-F.sum(F.col(k) / F.col("t") * F.log(F.col(k) / F.col("t"))).alias(f"h_{k}"))
+    ent = lambda x, k: x.join(F.broadcast(t)).agg((-F.sum(F.col(k) / F.col("t") * F.log(F.col(k) / F.col("t")))).alias(f"h_{k}"))
     mi = c.join(ca, "a").join(cb, "b").join(F.broadcast(t)).agg(F.sum(F.col("n") / F.col("t") * F.log(F.col("n") * F.col("t") / (F.col("na") * F.col("nb")))).alias("mi"))
     return mi.join(F.broadcast(ent(ca, "na"))).join(F.broadcast(ent(cb, "nb"))).select(F.round(F.try_divide("mi", F.sqrt(F.col("h_na") * F.col("h_nb"))), 6).alias("nmi"))
