@@ -25,13 +25,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        least = e.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
+        # written, so that the join below has an exchange on either side and AQE may split the rows of a hub
+        least = stored(e.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")), "least")
         large = e.join(least, e["v"] == F.col("x"), "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
         lows = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lows, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lows.select("u", F.col("m").alias("v"))).distinct()
         nxt = stored(small, "cc")
         now = _mark(nxt)
         unstore(e)
+        unstore(least)
         e = nxt
         if now == mark:
             break
