@@ -73,6 +73,8 @@ def hits(matcher, folded: str) -> list[tuple[int, int, float]]:
     """(start, end, weight) in a folded text: the longest term at each word, without those that an exception phrase covers."""
     best: dict[int, tuple[int, float]] = {}
     clear = []
+    if not len(matcher):
+        return []
     for end, (size, weight) in matcher.iter(folded):
         start = end - size + 1
         if weight is None:
