@@ -13,7 +13,17 @@ from lexmill.llm.base import documents, spread, table
 def op1_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm.embedding_graph import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93).select("vec_id", "n_links", "component_id", "kept")
+
+
+OP1_SQL = """
+WITH RECURSIVE links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.93
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id,
+    vec_id <= coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id) AS kept FROM embeddings
+"""
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +48,18 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
 
 
+#: The pages of these tables put the article into one element of that name; the operator does not rely on it.
+OP3_SQL = r"""
+WITH blocks AS (
+    SELECT page_id, url, generate_subscripts(b, 1) AS k, unnest(b) AS x FROM (
+        SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', ' ', 'g'), '</?(p|h1|h2|h3|ul|li|div)( [^>]*)?>', chr(1), 'g'), chr(1)) AS b FROM pages)
+), plain AS (
+    SELECT page_id, url, k, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS x FROM blocks
+), joined AS (SELECT page_id, url, coalesce(string_agg(x, chr(10) ORDER BY k) FILTER (WHERE x <> ''), '') AS text FROM plain GROUP BY ALL)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined
+"""
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm.warc import captures, read_archives, write_archives
     from lexmill.session import new_path
@@ -49,7 +71,16 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = c.select("response.*", F.nullif(page, F.lit("")).cast("bigint").alias("page_id"))
     origin = c.where("type = 'response'").select(F.col("record_id").alias("origin"), F.col("page_id").alias("origin_page"))
     out = c.join(origin, c["refers_to"] == F.col("origin"), "left")
-    return out.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("origin_page").alias("refers_to"), "target_uri")
+    return out.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("origin_page").alias("refers_to"))
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS origin FROM pages),
+h AS (SELECT *, list_transform([1, 11, 21, 31], lambda k: ('0x' || substr(sha1(html), k::BIGINT, 10))::BIGINT) AS parts FROM p)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+    array_to_string(list_transform(parts, lambda v: array_to_string(list_transform(range(0, 8), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((v >> (35 - 5 * i)::INTEGER) & 31) + 1)::BIGINT, 1)), '')), '') AS payload_digest,
+    CASE WHEN page_id = origin THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> origin THEN origin END AS refers_to FROM h
+"""
 
 
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +154,18 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(documents(spark, sf_dir, "doc_id", "text"), size=3, num=90, den=100)
 
 
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM words
+), one AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM one a JOIN one b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b), lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id FROM sets LEFT JOIN lowest ON a = doc_id
+"""
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -152,4 +195,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_preference_format": OP5_SQL, "op6_license_scan": OP6_SQL}
+    return {
+        "op1_embedding_graph": OP1_SQL,
+        "op3_html_text": OP3_SQL,
+        "op4_warc": OP4_SQL,
+        "op5_preference_format": OP5_SQL,
+        "op6_license_scan": OP6_SQL,
+        "op7_ngram_jaccard": OP7_SQL,
+    }
