@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def as_of(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, start: str = "valid_from", end: str = "valid_to", row: str = "row_id") -> DataFrame:
+def as_of(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
     """Each fact with the version in force at its day, or nulls where there is none; both ends count, a null end is open.
 
-    The join is on the keys, the days are a residual condition; of several versions the one that began last is taken.
+    One join on the keys, with the days as a residual condition, and one aggregate over the facts' own columns: of several versions the one
+    that began last is taken. Facts that are equal in all columns come out once.
     """
-    cond = [facts[k] == versions[k] for k in keys] + [versions[start] <= facts[at], versions[end].isNull() | (versions[end] >= facts[at])]
     extra = [c for c in versions.columns if c not in keys]
-    hit = facts.join(versions, cond).groupBy(facts[row]).agg(F.max_by(F.struct(*(versions[c] for c in extra)), versions[start]).alias("__v"))
-    return facts.join(hit, row, "left").select(*facts.columns, *(F.col(f"__v.{c}").alias(c) for c in extra))
+    v = versions.select(*(F.col(k).alias(f"__{k}") for k in keys), F.struct(*extra).alias("__v"))
+    first, last = F.col(f"__v.{start}"), F.col(f"__v.{end}")
+    cond = [F.col(k) == F.col(f"__{k}") for k in keys] + [first <= F.col(at), last.isNull() | (last >= F.col(at))]
+    hit = facts.join(v, cond, "left").groupBy(*facts.columns).agg(F.max_by("__v", first).alias("__v"))
+    return hit.select(*facts.columns, *(F.col(f"__v.{c}").alias(c) for c in extra))
 
 
 def in_interval(df: DataFrame, value: str, intervals: DataFrame, start: str, end: str) -> DataFrame:

@@ -305,7 +305,7 @@ SELECT l.o_orderkey, v.v::INTEGER AS v, round(v.price, 4) AS price FROM l LEFT J
 """)
 def asof_price_version(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 100 + 1).alias("p_partkey"), _day("o_orderdate").alias("d"))
-    out = temporal.as_of(o, _versions(spark, sf_dir), ["p_partkey"], "d", row="o_orderkey")
+    out = temporal.as_of(o, _versions(spark, sf_dir), ["p_partkey"], "d")
     return out.select("o_orderkey", "v", F.round("price", 4).alias("price"))
 
 
