@@ -209,3 +209,18 @@ def test_streaming_takes_each_file_once(spark, tmp_path):
         (tmp_path / "in" / f"{n}.json").write_text(json.dumps({"doc": str(n)}) + "\n")
         files.run_stage(files.stream(spark, src, "doc string"), lambda d: d, out, cp).awaitTermination()
     assert rows(spark.read.parquet(out).select("doc")) == [("0",), ("1",)]
+
+
+def test_report(spark, tmp_path):
+    from lexmill.plans import report
+
+    a = spark.createDataFrame([("a", "x y", "2020-02-03", "BLHS", 5), ("b", "z", "2020-02-31", None, None)], "doc_name string, markdown string, adopted_date string, applied_article_code string, applied_article_number int")
+    b = spark.createDataFrame([("a", 0.5, 1.0, 0), ("c", 0.1, 0.2, -1)], "doc_name string, pca_x double, pca_y double, cluster_id int")
+    d = report.dataset(spark, a, b)
+    made = report.tables(d, 2026)
+    assert set(made) == set(report.RENDERERS)
+    assert rows(made["timeline"]) == [(2020, 1)] and rows(made["citations"])[0][:3] == ("BLHS", 5, 1)
+    assert rows(made["clusters"].where("cluster is not null")) == [("c0", 1), ("noise", 1)]
+    out = str(tmp_path / "r" / "index.html")
+    assert report.page(made, out) == len(made) and report.page(made, out) == 0
+    assert json.loads(report.snapshot(d))["coverage"]["n_rows"] == 3
