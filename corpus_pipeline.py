@@ -38,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     docs = spread(docs)
     groups = ngram_classes(docs, size=5, num=80, den=100)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    known = docs.join(stay.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return known.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
