@@ -1,7 +1,6 @@
 """Each operator against a brute-force version, the library it stands for, or held-out rows."""
 
 import base64
-import collections
 import hashlib
 import random
 
@@ -97,8 +96,9 @@ def test_ngram_classes_are_exact(spark, size, num, monkeypatch):
         sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set())
     want = brute_components(sets, num, 100)
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for block in (ngram_join.BLOCK, 3_000):  # the second one cuts components into blocks
+    for block, few in ((ngram_join.BLOCK, ngram_join.FEW), (3_000, 2)):  # the second time components are cut into blocks and keys have many classes
         monkeypatch.setattr(ngram_join, "BLOCK", block)
+        monkeypatch.setattr(ngram_join, "FEW", few)
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_classes(d, size, num, 100).collect()}
         assert [got[i] for i in range(len(texts))] == [(len(s), w) for s, w in zip(sets, want, strict=True)]
 
@@ -106,14 +106,15 @@ def test_ngram_classes_are_exact(spark, size, num, monkeypatch):
 def test_keys_of_linked_sets_meet():
     r = np.random.default_rng(3)
     for num in (80, 90):
-        for n in (3, 10, 39, 60, 99, 101, 125, 160, 300, 656, 1049, 2000):
+        for n in (3, 10, 60, 125, 160, 300, 399, 400, 401, 450, 499, 501, 656, 1049, 2000):
             for _ in range(20):
                 a = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
                 cut = r.integers(0, n * (100 - num) // (100 + num) + 1)
                 b = np.unique(np.concatenate((a[cut:], r.integers(0, 2**64, cut, dtype=np.uint64))))
                 common = ngram_join.overlap(a, b)
                 if len(a) and len(b) and 100 * common >= num * (len(a) + len(b) - common):
-                    assert set(ngram_join.keys_of(a, num, 100).tolist()) & set(ngram_join.keys_of(b, num, 100).tolist())
+                    for often in (np.zeros(0, np.uint64), np.sort(r.choice(a, len(a) // 2, replace=False))):
+                        assert set(ngram_join.keys_of(a, num, 100, often).tolist()) & set(ngram_join.keys_of(b, num, 100, often).tolist())
 
 
 def test_count_tree_loses_nothing():
@@ -295,6 +296,9 @@ def test_sql(spark, name):
 
 
 def test_ties_inside_a_batch():
-    key, first, node, head = ngram_join.local_ties(np.array([5, 3, 9]), np.array([2, 1, 1]), np.array([7, 8, 7, 8]))
-    assert collections.Counter(zip(key.tolist(), first.tolist(), strict=True)) == {(7, 3): 1, (8, 5): 1}
-    assert sorted(zip(node.tolist(), head.tolist(), strict=True)) == [(5, 3), (9, 5)]
+    nodes, sizes, keys = np.array([5, 3, 9]), np.array([2, 1, 1]), np.array([7, 8, 7, 8])
+    key, node, a, b = ngram_join.local_ties(nodes, sizes, keys)
+    assert sorted(zip(key.tolist(), node.tolist(), strict=True)) == [(7, 3), (7, 5), (8, 5), (8, 9)] and not len(a)
+    key, node, a, b = ngram_join.local_ties(nodes, sizes, keys, few=1)
+    assert sorted(zip(key.tolist(), node.tolist(), strict=True)) == [(7, 3), (8, 5)]
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(5, 3), (9, 5)]
