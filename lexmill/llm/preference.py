@@ -27,7 +27,7 @@ def sibling_pairs(convs: DataFrame) -> DataFrame:
     """
     c = convs.where(F.size("turns") > 0).select("conv_id", "turns", F.element_at("turns", 1).alias("first"))
     chars = F.aggregate("turns", F.lit(0).cast("long"), lambda s, t: s + F.length(t["text"]))
-    best = c.groupBy("first").agg(F.count("*").alias("n"), F.max_by("conv_id", F.struct(F.size("turns"), chars, -F.col("conv_id"))).alias("chosen_id")).where("n > 1")
+    best = c.groupBy("first").agg(F.count("*").alias("n"), F.min_by("conv_id", F.struct(-F.size("turns"), -chars, F.col("conv_id"))).alias("chosen_id")).where("n > 1")
     chosen = best.join(convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen")), "chosen_id").select("first", "chosen_id", "chosen")
     return c.join(chosen, "first").where("conv_id <> chosen_id").select("chosen_id", "chosen", F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
 
