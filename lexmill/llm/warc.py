@@ -161,7 +161,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                         rows, size = [], 0
                 yield _batch(rows)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    # Spark fills an Arrow batch up to spark.sql.execution.arrow.maxBytesPerBatch (64 MB), so that few archives go to Python at once.
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("content").mapInArrow(run, _SCHEMA)
 
