@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import ColumnLike, _c, date_iso, groups, none_if_blank, spans, strip, text_hash
+from lexmill.functions.text import ColumnLike, _c, date_iso, groups, none_if_blank, once, spans, strip, text_hash
 
 # Patterns of Vietnamese legal text.
 CODES = "BLHS|BLTTHS|BLDS|BLTTDS|BLLĐ|LTCTAND|LTCVKSND|LTHAHS|LTHADS|LXLVPHC|LTM|LTTHC|LTPCTN"
@@ -36,13 +36,16 @@ def entities(x: ColumnLike) -> Column:
 
 def statutes(x: ColumnLike) -> Column:
     """Statute references with article, clause, point, code, year and span."""
-    whole = spans(x, ARTICLE)
-    clause, point, article, code, year = (groups(x, ARTICLE, k) for k in (1, 2, 3, 4, 5))
+    parts = F.struct(spans(x, ARTICLE).alias("whole"), *(groups(x, ARTICLE, k).alias(n) for n, k in (("clause", 1), ("point", 2), ("article", 3), ("code", 4), ("year", 5))))
 
-    def one(s: Column, i: Column) -> Column:
-        return F.struct(F.get(article, i).try_cast("bigint").alias("article"), F.get(clause, i).try_cast("bigint").alias("clause"), F.get(point, i).alias("point"), F.get(code, i).alias("code"), F.get(year, i).try_cast("bigint").alias("year"), F.array(s["start"], s["end"]).alias("span"))
+    def refs(p: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            number = lambda n: F.get(p[n], i).try_cast("bigint").alias(n)
+            return F.struct(number("article"), number("clause"), F.get(p["point"], i).alias("point"), F.get(p["code"], i).alias("code"), number("year"), F.array(s["start"], s["end"]).alias("span"))
 
-    return F.coalesce(F.transform(whole, one), F.array().cast(STATUTE)).cast(STATUTE)
+        return F.transform(p["whole"], one)
+
+    return F.coalesce(once(parts, refs), F.array().cast(STATUTE)).cast(STATUTE)
 
 
 def relations(found: ColumnLike, source: str = "CHARGE", target: str = "ARTICLE", rel: str = "cites_article", window: int = WINDOW) -> Column:

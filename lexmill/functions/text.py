@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -45,18 +46,25 @@ def spans(x: ColumnLike, pattern: str) -> Column:
     The gaps between matches are what splitting gives, so the offsets follow from lengths alone.
     """
     t = _c(x)
-    found = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
-    gaps = F.split(t, pattern, -1)
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<text:string,start:bigint,end:bigint>>").alias("out"))
 
-    def step(acc: Column, i: Column) -> Column:
-        text = F.get(found, i)
-        start = acc["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(text)
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(text.alias("text"), start.cast("long").alias("start"), end.cast("long").alias("end")))).alias("out"))
+    def walk(m: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            text = F.get(m["found"], i)
+            start = acc["at"] + F.length(F.get(m["gaps"], i))
+            end = start + F.length(text)
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(text.alias("text"), start.cast("long").alias("start"), end.cast("long").alias("end")))).alias("out"))
 
-    places = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.when(t.isNotNull(), F.aggregate(places, zero, step, lambda a: a["out"]))
+        places = F.when(F.size(m["found"]) > 0, F.sequence(F.lit(0), F.size(m["found"]) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(places, zero, step, lambda a: a["out"])
+
+    matches = F.struct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("found"), F.split(t, pattern, -1).alias("gaps"))
+    return F.when(t.isNotNull(), once(matches, walk))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression over a value that is computed once; inside a lambda, an expression is computed anew for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def groups(x: ColumnLike, pattern: str, group: int) -> Column:
