@@ -302,3 +302,27 @@ def test_ties_inside_a_batch():
     key, node, a, b = ngram_join.local_ties(nodes, sizes, keys, few=1)
     assert sorted(zip(key.tolist(), node.tolist(), strict=True)) == [(7, 3), (8, 5)]
     assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(5, 3), (9, 5)]
+
+
+@pytest.mark.parametrize("few", [16, 4])
+def test_a_stray_links_with_a_set_that_its_batch_has_collapsed(spark, few, monkeypatch):
+    # sets of one-word shingles in hash order: a word that 25 sets of a batch share is the first of each; the stray has two words before it
+    words = sorted((f"w{i}" for i in range(2000)), key=lambda w: int(ngram_join.shingle_set(w, 1)[0]))
+    texts = [" ".join([words[2], *words[3 + 19 * i : 22 + 19 * i]]) for i in range(25)]
+    head = min(range(25), key=lambda i: int(ngram_join.mix(ngram_join.shingle_set(texts[i], 1)).sum(dtype=np.uint64).view(np.int64)))
+    twin = (head + 1) % 25
+    stray = " ".join([*words[:2], texts[twin]])
+    none = np.zeros(0, np.uint64)
+    met = [set(ngram_join.keys_of(ngram_join.shingle_set(t, 1), 90, 100, none).tolist()) for t in (texts[twin], stray)]
+    assert len(met[0] & met[1]) == 1
+    monkeypatch.setattr(ngram_join, "SAMPLE", 0)
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    one, other = (spark.createDataFrame(rows, "doc_id long, text string").coalesce(1) for rows in (list(enumerate(texts)), [(25, stray)]))
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, "25")  # the stray is alone in its batch
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_classes(one.union(other), 1, 90, 100).collect()}
+    finally:
+        spark.conf.set(rows, before)
+    assert got == {i: i for i in range(25)} | {25: twin}
