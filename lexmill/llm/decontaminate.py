@@ -1,8 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Texts are folded to lower-case words of ASCII letters, digits and what lies beyond ASCII. A seed is a word n-gram of a test item that the words' own rates
-make rare: the product of their rates over the whole corpus is below a bound, so that the same n-gram by chance is not to be
-expected in a text. Passages around seed hits are aligned with the item; the score is a local alignment's as a share of
+Texts are folded to lower-case words of ASCII letters, digits and what lies beyond ASCII. Each word n-gram of a test item is a seed; those
+that the words' own rates make common are looked at as the rare ones are. Passages around seed hits that have enough words of the item
+to reach the threshold are aligned with it; the score is a local alignment's as a share of
 the item's own. Texts with a passage of at least ``threshold`` hold the item.
 """
 
@@ -34,25 +34,21 @@ def words_of(text: str) -> np.ndarray:
 
 
 class Seeds:
-    """Items as word hashes, and their rare n-grams in order of hash, each with its places (item, offset)."""
+    """Items as word hashes, and their n-grams in order of hash, each with its places (item, offset)."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], rates: dict[int, float], n: int, rare: float):
+    def __init__(self, items: list[tuple[int, np.ndarray]], n: int):
         self.n = n
         self.ids = [i for i, _ in items]
         self.words = [w for _, w in items]
-        log = [np.log10([max(1e-12, rates.get(int(x), 0)) for x in w]) if len(w) else np.zeros(0) for w in self.words]
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
         hashes, item, offset = [], [], []
         for k, w in enumerate(self.words):
             size = min(n, len(w))
             if not size:
                 continue
-            weight = np.convolve(log[k], np.ones(size), "valid")
-            # an item of common words only keeps its rarest n-gram, and can still be found by it
-            ok = (weight <= np.log10(rare)) | (weight == weight.min())
-            at = np.flatnonzero(ok)
-            hashes.append(ngrams(w, size)[at])
-            item.append(np.full(len(at), k))
-            offset.append(at)
+            hashes.append(ngrams(w, size))
+            item.append(np.full(len(w) - size + 1, k))
+            offset.append(np.arange(len(w) - size + 1))
         self.sizes = sorted({min(n, len(w)) for w in self.words if len(w)})
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         by = np.argsort(h, kind="stable")
@@ -62,6 +58,12 @@ class Seeds:
         self.some = np.zeros(1 << 20, bool)
         self.some[self.hash >> _U(44)] = True
 
+    def common(self, k: int, passage: np.ndarray) -> int:
+        """Words that item k and a passage have in common, repeated ones as often as in both; no alignment matches more."""
+        words, times = self.bags[k]
+        at = np.minimum(np.searchsorted(words, passage), len(words) - 1)
+        return int(np.minimum(np.bincount(at[words[at] == passage], minlength=len(words)), times).sum())
+
     def passages(self, words: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, start, stop) of the passages of a text that may hold the item: hits of one item near each other, with as much room on either side as the item is long."""
         at, low, high = [], [], []
@@ -122,6 +124,10 @@ def matches(seeds: Seeds, words: np.ndarray, threshold: float) -> list[tuple[int
     found: dict[int, tuple[float, int, int]] = {}
     for k, start, stop in seeds.passages(words):
         item = seeds.words[k]
+        # what cannot reach the threshold even if all common words align
+        most = seeds.common(k, words[start:stop])
+        if most / len(item) < threshold or most < min(len(item), WHOLE):
+            continue
         # in parts of bounded size, each as much over the next as a passage can be long
         step, reach = 4096, 2 * len(item) + 8
         for a in range(start, stop, step):
@@ -132,38 +138,15 @@ def matches(seeds: Seeds, words: np.ndarray, threshold: float) -> list[tuple[int
     return [(seeds.ids[k], *v) for k, v in sorted(found.items())]
 
 
-def word_rates(df: DataFrame, wanted: np.ndarray, text_col: str = "text") -> dict[int, float]:
-    """Rates over all words of all texts of the words asked for, which are as many as the test items have at most."""
-    wanted = np.unique(wanted)
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, total = np.zeros(len(wanted), np.int64), 0
-        for whole in parts:
-            for b in slices(whole):
-                for t in text_or_empty(b.column("text")):
-                    w = words_of(t)
-                    total += len(w)
-                    at = np.minimum(np.searchsorted(wanted, w), len(wanted) - 1)
-                    count += np.bincount(at[wanted[at] == w], minlength=len(wanted))
-        some = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(count[some], total))], ["word", "n"])
-
-    if not len(wanted):
-        return {}
-    rows = df.select(df[text_col].alias("text")).mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    got = {r["word"]: r["n"] for r in rows}
-    total = max(1, got.pop(-1, 0))
-    return {int(wanted[k]): n / total for k, n in got.items()}
-
-
 @lru_cache(2)
-def _seeds(items: tuple, rates: tuple, n: int, rare: float) -> Seeds:
-    return Seeds([(i, np.frombuffer(w, np.uint64)) for i, w in items], dict(rates), n, rare)
+def _seeds(items: tuple, n: int) -> Seeds:
+    return Seeds([(i, np.frombuffer(w, np.uint64)) for i, w in items], n)
 
 
-def contamination(df: DataFrame, items: DataFrame, n: int = 3, rare: float = 1e-8, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", whole: bool = False) -> DataFrame:
+def contamination(df: DataFrame, items: DataFrame, n: int = 3, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", whole: bool = False) -> DataFrame:
     """(id, matches) of every row of ``df``; matches: an array of (item_id, score, first_word, end_word), one for each item that the text holds.
 
+    Every n-gram of an item is a seed; a text that has no ``n`` words in a row in common with an item is not aligned with it.
     The array is empty for clean, null and empty texts. Items that are null or have no words match nothing; equal items all match. Repeated
     rows come out as often as they went in; empty tables give no rows, or rows without matches. Test items go to the workers as an index of at
     most ITEM_WORDS words (or one longer item); more items are taken in blocks, each a step of its own over the same rows, without a shuffle. With ``whole`` the first column is
@@ -185,12 +168,10 @@ def contamination(df: DataFrame, items: DataFrame, n: int = 3, rare: float = 1e-
             blocks[-1].append((r["i"], w.tobytes()))
     found = source
     for k, block in enumerate(blocks):
-        words = np.frombuffer(b"".join(w for _, w in block), np.uint64)
-        rates = tuple(sorted(word_rates(df, words, text_col).items()))
         key = tuple(block)
 
-        def run(parts: Iterator[pa.RecordBatch], key=key, rates=rates, start=k == 0) -> Iterator[pa.RecordBatch]:
-            seeds = _seeds(key, rates, n, rare)
+        def run(parts: Iterator[pa.RecordBatch], key=key, start=k == 0) -> Iterator[pa.RecordBatch]:
+            seeds = _seeds(key, n)
             names = ("item_id", "score", "first_word", "end_word")
             for whole_batch in parts:
                 for b in slices(whole_batch, 0 if whole else "text"):

@@ -326,3 +326,16 @@ def test_a_stray_links_with_a_set_that_its_batch_has_collapsed(spark, few, monke
     finally:
         spark.conf.set(rows, before)
     assert got == {i: i for i in range(25)} | {25: twin}
+
+
+def test_edited_copies_are_found_where_an_item_leaked_into_many_rows(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("aeiounst") for _ in range(r.randint(4, 9)))
+    item = [word() for _ in range(37)]
+    leaks = [item] * 70 + [[word() if i % 5 == k else w for i, w in enumerate(item)] for k in range(5)]
+    # one word of the item in each clean row, later ones in more rows, so that no two n-grams of it are equally rare
+    alone = [w for i, w in enumerate(item) for _ in range(i // 4)]
+    rows = [(i, " ".join([*(word() for _ in range(40)), *(leaks[i] if i < len(leaks) else alone[i - len(leaks) : i - len(leaks) + 1]), *(word() for _ in range(40))])) for i in range(len(leaks) + len(alone))]
+    d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontaminate.contamination(d, b).where("size(matches) > 0").select("doc_id").collect()
+    assert sorted(q["doc_id"] for q in got) == list(range(75))
