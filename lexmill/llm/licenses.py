@@ -1,7 +1,7 @@
 """Licence recognition: sentences to identifiers, identifier sequences to rules.
 
-A text is cut into sentences, twice: inside lines, and across wrapped lines inside paragraphs. A sentence's words in lower
-case, with numbers as "#", are looked up among known licence sentences. What is found is a sequence of identifiers in text
+A text is cut into pieces at ends of sentences and lines, and at ";" and ":". From each piece on, words in lower case, with numbers
+as "#", are followed through a tree of known licence sentences, over line ends, ";" and ":" inside a paragraph for as long as any of them can match. What is found is a sequence of identifiers in text
 order; ordered rules, the longest and most special first, name the licence of each run of identifiers.
 """
 
@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame
 from lexmill.llm.base import slices, text_or_empty
 
 _WORD = re.compile(r"\d+(?:\.\d+)*|[^\W\d_]+")
-_END = re.compile(r"[.!?;](?=\s|$)|(?<!dentifier):(?=\s|$)|\n")
+_END = re.compile(r"(?<!\b[vV])[.!?;](?=\s|$)|(?<!dentifier):(?=\s|$)|\n")
 _PARAGRAPH = re.compile(r"\n[ \t]*\n")
+#: What a notice adds to a licence's name; not part of the sentence.
+_TERM = re.compile(r"""\(\s*the\W+licen[sc]e\W*?\)""", re.IGNORECASE)
 _SPELLING = {"licence": "license", "licenced": "licensed", "licences": "licenses", "v": "version"}
 
 # What licences are called, and their identifiers; {} is the version.
@@ -136,22 +138,23 @@ def known() -> dict[str, tuple[str, str | None]]:
     return out
 
 
-#: Words of which every known sentence has one; sentences without them need no look-up.
+@lru_cache(1)
+def tree() -> dict:
+    """The known sentences word by word: a word leads to the words that may follow; "" leads to what a sentence that ends there is."""
+    top: dict = {}
+    for sentence, what in known().items():
+        node = top
+        for w in sentence.split():
+            node = node.setdefault(w, {})
+        node[""] = what
+    return top
+
+
+#: Words of which every known sentence has one; texts without them need no look-up.
 ANCHORS = re.compile("licen[sc]|permission|warranty|copyright|redistribut|under|covered|liab|mpl|reserved|public domain|spdx", re.IGNORECASE)
 _SPDX = re.compile(r"spdx-license-identifier:\s*([A-Za-z0-9.+-]+)", re.IGNORECASE)
 
 
-def normalised(sentence: str) -> tuple[str, list[str]]:
-    """Words in lower case with numbers as "#", and the numbers."""
-    numbers, out = [], []
-    for w in _WORD.findall(sentence.lower()):
-        if w[0].isdigit():
-            numbers.append(w)
-            w = "#"
-        out.append(_SPELLING.get(w, w))
-    return " ".join(out), numbers
-
-
 def sentences(text: str) -> Iterator[tuple[int, int]]:
     """(start, stop) of sentences inside lines."""
     start = 0
@@ -167,26 +170,48 @@ def identified(text: str) -> list[tuple[int, int, int, str, str | None, str, int
     """(sentence number, start, stop, identifier, licence template, version, number of its last line) of the known sentences of a text, in order."""
     if not ANCHORS.search(text):
         return []
-    table, out = known(), {}
+    top, out, spdx = tree(), [], _SPDX.search(text)
+    text = _TERM.sub(lambda m: " " * len(m[0]), text)
     spans = list(sentences(text))
+    line = -1
     for k, (a, b) in enumerate(spans):
-        piece = text[a:b]
-        if not ANCHORS.search(piece):
+        if k <= line:
             continue
-        # the sentence as it is, and with the lines after it that wrap it, up to the end of its paragraph
-        stop, line = b, k
-        while True:
-            words, numbers = normalised(text[a:stop])
-            if words in table:
-                name, spdx = table[words]
-                out[a] = k, a, stop, name, spdx, numbers[-1] if numbers else "", line
-            elif m := _SPDX.search(piece):
-                out[a] = k, a, b, "spdx", m[1], "", k
+        if hit := _longest(text, spans, k, top):
+            (name, template), line, version = hit
+            out.append((k, a, spans[line][1], name, template, version, line))
+        elif spdx and (m := _SPDX.search(text[a:b])):
+            out.append((k, a, b, "spdx", m[1], "", k))
+    return out
+
+
+def _longest(text: str, spans: list[tuple[int, int]], k: int, node: dict) -> tuple[tuple[str, str | None], int, str] | None:
+    """(what it is, number of its last piece, last number) of the longest known sentence that begins with piece k and ends with a piece."""
+    found, version, line, stop = None, "", k, spans[k][1]
+    if not _WORD.search(text, spans[k][0], stop):
+        return None
+    for m in _WORD.finditer(text, spans[k][0]):
+        while m.start() >= stop:
+            # a piece has ended; the sentence may have too, or go on in the next one
+            if "" in node:
+                found = node[""], line, version
+            if text[stop] in ".!?" or _PARAGRAPH.search(text, stop, m.start()):
+                return found
             line += 1
-            if line >= len(spans) or line > k + 12 or text[stop : stop + 1] not in ("\n", "") or _PARAGRAPH.match(text, stop):
-                break
             stop = spans[line][1]
-    return [out[a] for a in sorted(out)]
+        w = m[0].lower()
+        if w[0].isdigit():
+            w, number = "#", w
+        else:
+            number = version
+        if w in ("http", "https") and "" in node:
+            # an address ends what leads to it
+            found = node[""], line, version
+        node = node.get(_SPELLING.get(w, w))
+        if node is None:
+            return found
+        version = number
+    return (node[""], line, version) if "" in node else found
 
 
 def recognised(text: str) -> list[dict]:

@@ -339,3 +339,58 @@ def test_edited_copies_are_found_where_an_item_leaked_into_many_rows(spark):
     d, b = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     got = decontaminate.contamination(d, b).where("size(matches) > 0").select("doc_id").collect()
     assert sorted(q["doc_id"] for q in got) == list(range(75))
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """    This program is free software%s you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation%s either version %s of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+ONLY = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+@pytest.mark.parametrize(("t", "want", "n"), [
+    (APACHE, ["Apache-2.0"], 5),
+    (GPL % (":", ",", 3), ["GPL-3.0-or-later"], 3),
+    (GPL % (";", ";", 2), ["GPL-2.0-or-later"], 3),
+    (LGPL, ["LGPL-2.1-or-later"], 1),
+    (ONLY, ["GPL-2.0-only"], 1),
+    (MPL, ["MPL-2.0"], 2),
+    ("This software is\nreleased under the\nMIT License.\n", ["MIT"], 1),
+    (MIT, ["MIT"], 2),
+    ("\n".join(MIT.split()), ["MIT"], 2),
+    ("Released under the MIT License; Licensed under CC BY-NC 4.0: text", ["MIT", "CC-BY-NC-4.0"], 1),
+])
+def test_real_notices(t, want, n):
+    for text in (t, "x\n" + "".join(f" * {x}\n" for x in t.splitlines())):
+        got = licenses.recognised(text)
+        assert [r["license_id"] for r in got] == want and len(got[0]["sentences"]) == n
