@@ -1,7 +1,7 @@
 """Near-duplicate vectors by a flat, robust-pruned neighbour graph.
 
 1. Equal vectors of a label are one class. Centroids of a bounded sample cut each label into shards that overlap: a vector
-   also joins those whose cell border is nearer than a margin.
+   also joins those whose cell border is near enough for a linked one to lie behind it.
 2. Each shard, in blocks of bounded size, builds a graph: nearest and random candidates are pruned so that no kept neighbour
    makes another one needless. The adjacency lists that a vector has in its shards are united.
 3. Each vector is searched for in its home shard: greedily from the medoids, then on from everything in range until nothing
@@ -24,8 +24,6 @@ from lexmill.session import spread, stored
 
 #: Vectors that centroids are fitted on, of a shard as it should be, of a block at most; neighbours kept, of them random; beam.
 SAMPLE, SHARD, BLOCK, NEAR, FAR, BEAM = 20_000, 1_000, 4_096, 20, 6, 16
-#: Standard deviations of a linked pair's difference along one direction that the overlap allows for.
-MARGIN = 2.0
 #: Queries of a task that are audited, and the recall they have to reach.
 AUDIT, RECALL = 32, 0.99
 
@@ -54,12 +52,15 @@ def centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarr
 
 
 def cells(x: np.ndarray, c: np.ndarray, threshold: float) -> list[list[int]]:
-    """The clusters of each unit vector, its home first, then those whose border is within the margin."""
+    """The clusters of each unit vector, its home first, then all that can be home to a vector linked with it.
+
+    A cell's border is a plane through the origin; what is linked over it stands at no larger an angle to it than the threshold's, whatever the data.
+    """
     sims = x @ c.T
     home = sims.argmax(1)
     apart = np.sqrt(np.maximum(2 - 2 * c @ c.T, 1e-12))
-    reach = math.sqrt(max(0.0, 2 - 2 * threshold))
-    margin = min(reach, MARGIN * reach / math.sqrt(x.shape[1]))
+    # a hair more, for rounding
+    margin = math.sqrt(max(0.0, 1 - threshold**2)) + 1e-6 if threshold > 0 else 1.0 + 1e-6
     out = []
     for i, h in enumerate(home.tolist()):
         near = np.flatnonzero(sims[i, h] - sims[i] <= margin * apart[h])

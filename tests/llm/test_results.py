@@ -394,3 +394,34 @@ def test_real_notices(t, want, n):
     for text in (t, "x\n" + "".join(f" * {x}\n" for x in t.splitlines())):
         got = licenses.recognised(text)
         assert [r["license_id"] for r in got] == want and len(got[0]["sentences"]) == n
+
+
+@pytest.mark.parametrize(("size", "effective"), [(64, 16), (768, 30), (16, 2)])
+def test_links_over_borders_of_shards(size, effective):
+    from lexmill.llm import embedding_graph
+
+    r = np.random.default_rng(9)
+    turn = np.linalg.qr(r.normal(size=(size, effective)))[0].T
+    x = embedding_graph.unit(r.normal(size=(3000, effective)))
+    away = r.normal(size=x.shape)
+    away = embedding_graph.unit(away - (away * x).sum(1, keepdims=True) * x)
+    y = (0.935 * x + np.sqrt(1 - 0.935**2) * away) @ turn
+    x = x @ turn
+    c = embedding_graph.centroids(np.concatenate((x, y)), 30)
+    homes = [k[0] for k in embedding_graph.cells(x, c, 0.93)]
+    assert all(h in k for h, k in zip(homes, embedding_graph.cells(y, c, 0.93), strict=True))
+
+
+def test_many_shards_lose_no_link(spark, monkeypatch):
+    from lexmill.llm import embedding_graph
+
+    monkeypatch.setattr(embedding_graph, "SHARD", 40)
+    r = np.random.default_rng(10)
+    turn = np.linalg.qr(r.normal(size=(64, 6)))[0].T
+    base_ = embedding_graph.unit(r.normal(size=(200, 6)))
+    u = embedding_graph.unit(np.concatenate([base_, base_ + r.normal(scale=0.15, size=base_.shape)]) @ turn)
+    d = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(u)], "vec_id long, embedding array<double>, label int")
+    hit = u @ u.T >= 0.93
+    np.fill_diagonal(hit, False)
+    got = {q["vec_id"]: q["n_links"] for q in embedding_graph.near_duplicates(d).collect()}
+    assert [got[i] for i in range(len(u))] == hit.sum(1).tolist()
