@@ -146,8 +146,11 @@ def _row(fields: dict[str, str], block: bytes, with_payload: bool) -> tuple:
     return fields["warc-record-id"], kind, fields.get("warc-date"), fields.get("warc-target-uri"), fields.get("warc-concurrent-to"), fields.get("warc-refers-to"), digest, size, text, payload if with_payload else None
 
 
-def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """One row for each record of the archives below ``path``, plain or gzip; a response's digest is computed from its payload and must agree with its header."""
+def read_archives(spark: SparkSession, path: str, with_payload: bool = True, names: str = "{part-*,*.warc,*.warc.gz,*.gz}") -> DataFrame:
+    """One row for each record of the archives below ``path``, in subfolders too, plain or gzip; a response's digest is computed from its payload and must agree with its header.
+
+    ``names`` is the pattern of archives' names.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
@@ -162,7 +165,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
                 yield _batch(rows)
 
     # Spark fills an Arrow batch up to spark.sql.execution.arrow.maxBytesPerBatch (64 MB), so that few archives go to Python at once.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(path)
     return files.select("content").mapInArrow(run, _SCHEMA)
 
 

@@ -425,3 +425,14 @@ def test_many_shards_lose_no_link(spark, monkeypatch):
     np.fill_diagonal(hit, False)
     got = {q["vec_id"]: q["n_links"] for q in embedding_graph.near_duplicates(d).collect()}
     assert [got[i] for i in range(len(u))] == hit.sum(1).tolist()
+
+
+def test_archives_of_other_names_and_in_subfolders(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    for name, data in (("part-0", False), ("x.warc", False), ("a/y.warc.gz", True), ("a/b/z.gz", True), ("a/notes.txt", False)):
+        one = f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <{name}>\r\nContent-Length: 1\r\n\r\na\r\n\r\n".encode()
+        (tmp_path / name).write_bytes(gzip.compress(one) if data else one)
+    got = sorted(r["record_id"] for r in warc.read_archives(spark, f"file://{tmp_path}").collect())
+    assert got == ["<a/b/z.gz>", "<a/y.warc.gz>", "<part-0>", "<x.warc>"]
