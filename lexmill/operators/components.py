@@ -18,6 +18,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     Each round is two joins on node keys, whose hub side AQE may split, and ends in a written table, so that neither
     lineage nor any single task grows with a component. Nodes without an edge to another node are not returned; an empty input gives no rows.
+    Raises where ``max_rounds`` do not suffice; what is not finished is never returned.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
     e = stored(e, "cc")
@@ -38,4 +39,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         if now == mark:
             break
         mark = now
+    else:
+        raise RuntimeError(f"components are not complete after {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

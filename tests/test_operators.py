@@ -224,3 +224,10 @@ def test_report(spark, tmp_path):
     out = str(tmp_path / "r" / "index.html")
     assert report.page(made, out) == len(made) and report.page(made, out) == 0
     assert json.loads(report.snapshot(d))["coverage"]["n_rows"] == 3
+
+
+def test_components_that_are_not_complete_are_not_returned(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        connected_components(e, max_rounds=1)
+    assert {r["component"] for r in connected_components(e).collect()} == {0}
