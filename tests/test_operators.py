@@ -231,3 +231,12 @@ def test_components_that_are_not_complete_are_not_returned(spark):
     with pytest.raises(RuntimeError):
         connected_components(e, max_rounds=1)
     assert {r["component"] for r in connected_components(e).collect()} == {0}
+
+
+def test_as_of_keeps_repeated_facts(spark):
+    d = dt.date
+    v = spark.createDataFrame([("A", d(2000, 1, 1), None, 1), ("A", d(2001, 1, 1), None, 2)], "k string, valid_from date, valid_to date, n int")
+    f = spark.createDataFrame([("A", d(2002, 1, 1))] * 3 + [("B", None)] * 2, "k string, at date")
+    out = temporal.as_of(f, v, ["k"], "at")
+    assert out.columns == ["k", "at", "valid_from", "valid_to", "n"]
+    assert sorted((r["k"], r["n"]) for r in out.collect() if r["k"] == "A") == [("A", 2)] * 3 and [r["n"] for r in out.collect() if r["k"] == "B"] == [None] * 2
