@@ -96,9 +96,12 @@ def test_ngram_classes_are_exact(spark, size, num, monkeypatch):
         sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set())
     want = brute_components(sets, num, 100)
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for block, few in ((ngram_join.BLOCK, ngram_join.FEW), (3_000, 2)):  # the second time components are cut into blocks and keys have many classes
+    # then components are cut into blocks, by shingles and by sets, keys have many classes and ties are united in small parts
+    for block, few, many, rows in ((ngram_join.BLOCK, ngram_join.FEW, ngram_join.SETS, ngram_join.UNITED), (3_000, 2, 128, 1_000), (10_000, 1, 4, 50)):
         monkeypatch.setattr(ngram_join, "BLOCK", block)
         monkeypatch.setattr(ngram_join, "FEW", few)
+        monkeypatch.setattr(ngram_join, "SETS", many)
+        monkeypatch.setattr(ngram_join, "UNITED", rows)
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_classes(d, size, num, 100).collect()}
         assert [got[i] for i in range(len(texts))] == [(len(s), w) for s, w in zip(sets, want, strict=True)]
 
@@ -117,6 +120,18 @@ def test_keys_of_linked_sets_meet():
                         assert set(ngram_join.keys_of(a, num, 100, often).tolist()) & set(ngram_join.keys_of(b, num, 100, often).tolist())
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
+def test_united_ties_are_components(pairs):
+    a, b = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
+    node, root = ngram_join.united(a, b)
+    low = {x: x for p in pairs for x in p}
+    for _ in pairs:
+        for x, y in pairs:
+            low[x] = low[y] = min(low[x], low[y])
+    assert dict(zip(node.tolist(), root.tolist(), strict=True)) == {x: r for x, r in low.items() if r != x}
+
+
 def test_count_tree_loses_nothing():
     r = np.random.default_rng(4)
     sets = [np.unique(r.integers(0, 400, r.integers(20, 300)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(200)]
