@@ -58,6 +58,52 @@ def texts_of(batch: pa.RecordBatch, text_col: str, whole: bool) -> pa.Array:
     return batch.column(0).field(text_col) if whole else batch.column("text")
 
 
+#: Symbols of a window of a long word and what it shares with the next one; longer words are merged in windows.
+WINDOW, SHARED = 192, 64
+
+
+def windows(n: int) -> list[tuple[int, int]]:
+    """(start, stop) of the windows of a word of n symbols; a word of WINDOW symbols or fewer is one."""
+    starts = range(0, max(1, n - SHARED), WINDOW - SHARED) if n > WINDOW else (0,)
+    return [(a, min(n, a + WINDOW)) for a in starts]
+
+
+def stitched(spans: list[tuple[int, int]], merge) -> list[tuple[int, object]]:
+    """(start, token) of a whole word's tokens by pair merging, from those of its windows.
+
+    ``merge(spans)`` gives the (start, token) pairs of each span, as if it were a word. A token that two windows have at one place is a joint: the tokens
+    before it in the first and after it in the second are together the word's. For whenever each two neighbouring tokens are what their own
+    symbols merge to, as they are in a window, the first merge of the whole that would cross between two of them would be the first in those two as well.
+    Windows without a joint become one and are merged again, so that the result is exact for every word.
+    """
+    found = merge(spans)
+    while len(spans) > 1:
+        cuts, again = [], []
+        for k in range(len(spans) - 1):
+            both = set(found[k + 1])
+            low = cuts[-1] if cuts and cuts[-1] is not None else 0
+            inside = [i for i, t in enumerate(found[k]) if t[0] >= spans[k + 1][0] and t[0] > low and t in both]
+            cuts.append(found[k][inside[len(inside) // 2]][0] if inside else None)
+        if None not in cuts:
+            edge = [0, *cuts, spans[-1][1]]
+            return [t for k, tokens in enumerate(found) for t in tokens if edge[k] <= t[0] < edge[k + 1]]
+        spans, old, k = [], list(zip(spans, found, strict=True)), 0
+        found = []
+        while k < len(old):
+            (a, b), tokens = old[k]
+            joined = False
+            while k < len(cuts) and cuts[k] is None:
+                k, joined = k + 1, True
+                b = old[k][0][1]
+            spans.append((a, b))
+            found.append(None if joined else tokens)
+            again += [(a, b)] * joined
+            k += 1
+        new = iter(merge(again))
+        found = [x if x is not None else next(new) for x in found]
+    return found[0]
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _U = np.uint64

@@ -1,9 +1,9 @@
 """Byte-level BPE by recursive queries of an in-process DuckDB, one per Python worker.
 
 Distinct pre-tokens become rows (word, place, next place, token). The recursive query joins neighbouring tokens with the merge table,
-finds each word's leftmost pair of lowest rank, contracts it and goes on until no word has a pair; ordered aggregation
-turns rows back into id lists, and id lists into bytes. A query runs a bounded number of steps, and what is left starts
-the next one, so that its memory stays bounded for words of any length.
+finds each word's leftmost pair of lowest rank, contracts it and goes on with the words it has changed until none has a pair; its state is keyed by
+place, so that it holds each token once and not once a step. Words longer than a window are merged in windows that
+overlap, so that the number of steps is bounded whatever a word's length. Ordered aggregation over the vocabulary turns a document's ids back into bytes.
 """
 
 from __future__ import annotations
@@ -18,29 +18,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lexmill.llm.base import slices, text_or_empty
+from lexmill.llm.base import WINDOW, slices, stitched, text_or_empty, windows
 
-#: Steps of one recursive query; bytes of distinct words it takes at once; words whose ids a worker keeps.
-STEPS, AT_ONCE, KEPT = 24, 400_000, 400_000
+#: Bytes of distinct words that a query takes at once, ids that one decodes at once; words whose ids a worker keeps.
+AT_ONCE, IDS_AT_ONCE, KEPT = 400_000, 1_000_000, 400_000
 
-#: Tokens are a linked list: g is a token's place, n that of the next one in its word.
+#: Tokens are a linked list: g is a token's place, n that of the next one in its word; a token that went into the one before it is -1.
 _CONTRACT = """
-CREATE OR REPLACE TEMP TABLE reached AS
-WITH RECURSIVE s(w, g, n, t, step) AS (
-    SELECT w, g, n, t, 0 FROM waiting
-    UNION ALL
-    SELECT s.w, s.g, CASE WHEN s.g = x.best & 4294967295 THEN x.after ELSE s.n END,
-           CASE WHEN s.g = x.best & 4294967295 THEN (x.best >> 32)::INTEGER ELSE s.t END, s.step + 1
-    FROM s JOIN (
-        SELECT a.w, min((m.made::BIGINT << 32) | a.g) AS best,
+WITH RECURSIVE s(g, w, n, t) USING KEY (g) AS (
+    SELECT g, w, n, t FROM waiting
+    UNION
+    SELECT y.g, x.w, CASE WHEN y.g = x.place THEN x.after ELSE -2 END, CASE WHEN y.g = x.place THEN x.made ELSE -1 END
+    FROM (
+        SELECT a.w, min((m.made::BIGINT << 32) | a.g) & 4294967295 AS place, (min((m.made::BIGINT << 32) | a.g) >> 32)::INTEGER AS made,
                arg_min(b.g, (m.made::BIGINT << 32) | a.g) AS gone, arg_min(b.n, (m.made::BIGINT << 32) | a.g) AS after
-        FROM s a JOIN s b ON b.g = a.n JOIN merges m ON m.a = a.t AND m.b = b.t
-        WHERE a.step < {steps}
+        FROM recurring.s a JOIN recurring.s b ON b.g = a.n JOIN merges m ON m.a = a.t AND m.b = b.t
+        WHERE a.w IN (SELECT w FROM s)
         GROUP BY a.w
-    ) x ON x.w = s.w
-    WHERE s.g <> x.gone
+    ) x, LATERAL (SELECT unnest([x.place, x.gone]) AS g) y
 )
-SELECT w, g, n, t, step FROM s JOIN (SELECT w, max(step) AS step FROM s GROUP BY w) USING (w, step)
+SELECT w, t FROM s WHERE t >= 0 ORDER BY w, g
 """
 
 
@@ -65,11 +62,13 @@ class ByteBPE:
                 self.first[k[0]] = v
         rows = [(ranks[v[:k]], ranks[v[k:]], made) for v, made in ranks.items() for k in range(1, len(v)) if v[:k] in ranks and v[k:] in ranks]
         self.db = duckdb.connect(":memory:")
-        for setting in ("threads = 1", "memory_limit = '200MB'", "preserve_insertion_order = false"):
+        for setting in ("threads = 1", "memory_limit = '200MB'", "preserve_insertion_order = false", "temp_directory = ''"):
             self.db.execute(f"SET {setting}")
         a, b, made = (pa.array(x, pa.int32()) for x in zip(*rows, strict=True))
         self.load("merges", pa.table({"a": a, "b": b, "made": made}))
         self.load("vocabulary", pa.table({"t": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([k.hex() for k in ranks])}))
+        self.size = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.size[list(ranks.values())] = [len(k) for k in ranks]
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -85,37 +84,55 @@ class ByteBPE:
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word as little-endian unsigned 32-bit integers; no word is empty."""
+        long = [k for k, w in enumerate(words) if len(w) > WINDOW]
+        out = self._contracted([w if len(w) <= WINDOW else w[:1] for w in words])
+        for k in long:
+            out[k] = self._long(words[k])
+        return out
+
+    def _long(self, word: bytes) -> bytes:
+        def merge(spans):
+            ids = []
+            step = max(1, AT_ONCE // max(b - a for a, b in spans))
+            for i in range(0, len(spans), step):
+                ids += self._contracted([word[a:b] for a, b in spans[i : i + step]])
+            out = []
+            for (a, _), x in zip(spans, ids, strict=True):
+                t = np.frombuffer(x, "<u4")
+                out.append(list(zip((a + np.cumsum(self.size[t]) - self.size[t]).tolist(), t.tolist(), strict=True)))
+            return out
+
+        return np.array([t for _, t in stitched(windows(len(word)), merge)], "<u4").tobytes()
+
+    def _contracted(self, words: list[bytes]) -> list[bytes]:
         lengths = np.array([len(w) for w in words])
         flat = np.frombuffer(b"".join(words), np.uint8)
         place = np.arange(len(flat))
         after = place + 1
         after[np.cumsum(lengths) - 1] = -1
         self.load("waiting", pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), lengths), "g": place, "n": after, "t": self.first[flat]}))
-        self.db.execute("CREATE OR REPLACE TEMP TABLE done (w INTEGER, g BIGINT, t INTEGER)")
-        while True:
-            self.db.execute(_CONTRACT.format(steps=STEPS))
-            self.db.execute(f"INSERT INTO done SELECT w, g, t FROM reached WHERE step < {STEPS}")
-            self.db.execute(f"CREATE OR REPLACE TEMP TABLE waiting AS SELECT w, g, n, t FROM reached WHERE step = {STEPS}")
-            if not self.db.execute("SELECT count(*) FROM waiting").fetchall()[0][0]:
-                break
-        got = self.db.execute("SELECT w, t FROM done ORDER BY w, g").fetchnumpy()
+        got = self.db.execute(_CONTRACT).fetchnumpy()
         ids = np.asarray(got["t"]).astype("<u4").tobytes()
         ends = np.cumsum(np.bincount(np.asarray(got["w"]), minlength=len(words))) * 4
         return [ids[i:j] for i, j in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True)]
 
-    def decode_words(self, ids: list[bytes]) -> list[bytes]:
-        """The bytes of each id list, by ordered aggregation over the vocabulary."""
-        lengths = np.array([len(x) // 4 for x in ids])
-        flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-        self.load("ids", pa.table({"w": np.repeat(np.arange(len(ids), dtype=np.int32), lengths), "p": np.arange(len(flat)), "t": flat}))
-        rows = self.db.execute("SELECT w, string_agg(hex, '' ORDER BY p) FROM ids JOIN vocabulary USING (t) GROUP BY w").fetchall()
-        out = [b""] * len(ids)
-        for w, x in rows:
-            out[w] = bytes.fromhex(x)
-        return out
+    def decode(self, ids: list[bytes]) -> list[bytes]:
+        """The bytes of each id list, by ordered aggregation over the vocabulary, in parts of bounded size."""
+        lengths = np.array([len(x) // 4 for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        if len(flat) and (flat.max() >= len(self.size) or not self.size[flat].all()):
+            raise ValueError("an id is not in the vocabulary")
+        own = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
+        out = [[] for _ in ids]
+        for a in range(0, len(flat), IDS_AT_ONCE):
+            b = min(len(flat), a + IDS_AT_ONCE)
+            self.load("ids", pa.table({"w": own[a:b], "p": np.arange(a, b), "t": flat[a:b].astype(np.int32)}))
+            for w, x in self.db.execute("SELECT w, string_agg(hex, '' ORDER BY p) FROM ids JOIN vocabulary USING (t) GROUP BY w").fetchall():
+                out[w].append(bytes.fromhex(x))
+        return [b"".join(x) for x in out]
 
     def learn(self, words: set[str]) -> None:
-        """Encodes the words that aren't known yet, in parts of bounded size, and proves that they decode to themselves."""
+        """Encodes the words that aren't known yet, in parts of bounded size."""
         if len(self.new) > KEPT:
             self.new, self.old = {}, self.new
         new, old = self.new, self.old
@@ -133,17 +150,18 @@ class ByteBPE:
                 part.append(todo[start].encode("utf-8", "surrogatepass"))
                 size += len(part[-1])
                 start += 1
-            ids = self.encode_words(part)
-            if self.decode_words(ids) != part:
-                raise ValueError("a word does not decode to itself")
-            new.update(zip(todo[start - len(part) : start], ids, strict=True))
+            new.update(zip(todo[start - len(part) : start], self.encode_words(part), strict=True))
 
-    def __call__(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """(ids, decoded bytes) of each text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [self.split(t) for t in texts]
         self.learn({w for words in split for w in words})
-        # Every word's ids were decoded above and gave the word again; a text's decoding is its words' in order.
-        return [(b"".join(map(self.new.__getitem__, words)), "".join(words).encode("utf-8", "surrogatepass")) for words in split]
+        return [b"".join(map(self.new.__getitem__, words)) for words in split]
+
+    def __call__(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """(ids, what the ids decode to) of each text."""
+        ids = self.encode(texts)
+        return list(zip(ids, self.decode(ids), strict=True))
 
 
 def quick_pattern(pattern: str):
@@ -163,8 +181,8 @@ def coder(path: str, pattern: str) -> ByteBPE:
 def byte_bpe(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """(id, n_tokens, ids, decoded) of every row: ``ids`` as little-endian unsigned 32-bit integers, ``decoded`` as bytes.
 
-    With ``digests`` the two are replaced by ids_sha256 and decoded_sha256, in lowercase hex. A null text counts as an empty one and
-    has no ids. Repeated rows come out as often as they went in; other columns are ignored; an empty table gives no rows.
+    ``decoded`` comes from the ids of the whole text, not from the text. With ``digests`` the two are replaced by ids_sha256 and decoded_sha256, in lowercase hex. A null text counts as an empty one and
+    has no ids. Of pairs of one rank in a word the leftmost goes first. Words of any length are merged whole. Repeated rows come out as often as they went in; other columns are ignored; an empty table gives no rows.
     """
     source = df.select(df[id_col].alias("__id"), df[text_col].alias("text"))
     kind = source.schema["__id"].dataType.simpleString()
@@ -184,3 +202,21 @@ def byte_bpe(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     kinds = "string" if digests else "binary"
     return source.mapInArrow(run, f"__id {kind}, n_tokens bigint, {names[2]} {kinds}, {names[3]} {kinds}").withColumnRenamed("__id", id_col)
+
+
+def decoded(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(id, decoded) of every row: the bytes that its ids (little-endian unsigned 32-bit integers) stand for.
+
+    Null and empty id lists give no bytes; an id beyond the vocabulary raises. Repeated rows come out as often as they went in; other columns are
+    ignored; an empty table gives no rows.
+    """
+    source = df.select(df[id_col].alias("__id"), df[ids_col].alias("ids"))
+    kind = source.schema["__id"].dataType.simpleString()
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = coder(ranks_path, pattern)
+        for whole in parts:
+            for b in slices(whole, "ids"):
+                yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(code.decode([x or b"" for x in b.column("ids").to_pylist()]), pa.binary())], ["__id", "decoded"])
+
+    return source.mapInArrow(run, f"__id {kind}, decoded binary").withColumnRenamed("__id", id_col)
