@@ -4,7 +4,8 @@ A piece model's text form starts with a word mark and has it for every space; no
 character, so runs between those places (pre-tokens) merge on their own. Distinct pre-tokens of a batch stand one after
 another in flat numpy arrays (symbol, owner). In each round every pre-token merges the leftmost of its pairs of lowest
 rank, all pre-tokens at once; pre-tokens without a pair leave the arrays. Survivors are counted, characters without a
-piece as their UTF-8 bytes.
+piece as their UTF-8 bytes. Pre-tokens longer than a window are merged in windows that overlap, so that the rounds are bounded
+whatever a pre-token's length.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lexmill.llm.base import slices, text_or_empty
+from lexmill.llm.base import WINDOW, slices, stitched, text_or_empty, windows
 
 MARK = "▁"
 _PRE = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -56,6 +57,26 @@ class PieceModel:
 
     def counts(self, words: list[str]) -> np.ndarray:
         """Tokens of each pre-token."""
+        out = self._merged([w if len(w) <= WINDOW else w[:1] for w in words])[0]
+        for k, w in enumerate(words):
+            if len(w) > WINDOW:
+                out[k] = self._long(w)
+        return out
+
+    def _long(self, word: str) -> int:
+        def merge(spans):
+            out = [[] for _ in spans]
+            for i in range(0, len(spans), 2_000):
+                part = spans[i : i + 2_000]
+                _, own, start, sym, weight = self._merged([word[a:b] for a, b in part], True)
+                for o, x, s, w in zip(own.tolist(), start.tolist(), sym.tolist(), weight.tolist(), strict=True):
+                    out[i + o].append((part[o][0] + x, (s, w)))
+            return out
+
+        return sum(w for _, (_, w) in stitched(windows(len(word)), merge))
+
+    def _merged(self, words: list[str], survivors: bool = False) -> tuple[np.ndarray, ...]:
+        """(tokens of each pre-token); with ``survivors`` also (pre-token, place in it, symbol, tokens) of all symbols that are left, in order."""
         lengths = np.array([len(w) for w in words], np.int64)
         flat = "".join(words)
         points = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -64,6 +85,8 @@ class PieceModel:
         size = np.where(distinct < 0x80, 1, np.where(distinct < 0x800, 2, np.where(distinct < 0x10000, 3, 4)))[inverse]
         own = np.repeat(np.arange(len(words)), lengths)
         total = np.zeros(len(words), np.int64)
+        place_in = np.arange(len(sym)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        left: list[tuple[np.ndarray, ...]] = []
         far = np.int64(1) << 62
         while len(sym):
             key = sym[:-1] * self.width + sym[1:]
@@ -78,12 +101,18 @@ class PieceModel:
             if ended.any():
                 weight = np.where(self.piece[sym[ended]], 1, size[ended] if self.fallback else 1)
                 total += np.bincount(own[ended], weight, len(words)).astype(np.int64)
+                if survivors:
+                    left.append((own[ended], place_in[ended], sym[ended], weight))
             place = best[best != far] % len(sym)
             sym[place] = self.made[at[place]]
             keep = ~ended
             keep[place + 1] = False
-            sym, own, size = sym[keep], own[keep], size[keep]
-        return total
+            sym, own, size, place_in = sym[keep], own[keep], size[keep], place_in[keep]
+        if not survivors:
+            return (total,)
+        cols = [np.concatenate(x) for x in zip(*left, strict=True)]
+        by = np.lexsort((cols[1], cols[0]))
+        return total, *(c[by] for c in cols)
 
 
 @lru_cache(2)
@@ -128,7 +157,7 @@ def token_counts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     """(id, n_bytes, n_tokens, over_limit) of every row of ``df``, as the model's own library counts it, without begin or end tokens.
 
     A null text counts as an empty one: 0 bytes, 0 tokens. Repeated rows come out as often as they went in, other columns are
-    ignored, an empty table gives no rows. Texts are taken whole; a pre-token of any length is merged to its end.
+    ignored, an empty table gives no rows. Of pairs of one rank in a pre-token the leftmost goes first. Texts are taken whole; a pre-token of any length is merged to its end.
     """
     source = df.select(df[id_col].alias("__id"), df[text_col].alias("text"))
     kind = source.schema["__id"].dataType.simpleString()
