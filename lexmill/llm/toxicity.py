@@ -8,6 +8,7 @@ hundred words and the largest weight gives the score.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 import unicodedata
@@ -15,13 +16,14 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.base import carried, text_or_empty, texts_of
+from lexmill.llm.base import carried, slices, text_or_empty, texts_of
 from lexmill.session import stored
 
 # Look-alike letters of Greek and Cyrillic, and letters without a decomposition.
@@ -78,20 +80,30 @@ def hits(matcher, folded: str) -> list[tuple[int, int, float]]:
     for end, (size, weight) in matcher.iter(folded):
         start = end - size + 1
         if weight is None:
-            clear.append((start, end))
+            clear.append((start, end + 1))
         elif start not in best or size > best[start][0]:
             best[start] = size, weight
-    return [(s, s + n, w) for s, (n, w) in best.items() if not any(a <= s and s + n - 1 <= b for a, b in clear)]
+    # of the phrases that begin at a place or before it, the one that reaches furthest
+    clear.sort()
+    starts, reach = [a for a, _ in clear], list(accumulate((b for _, b in clear), max))
+    out = []
+    for s, (n, w) in best.items():
+        k = bisect.bisect_right(starts, s)
+        if not k or reach[k - 1] < s + n:
+            out.append((s, s + n, w))
+    return out
 
 
-def features(matcher, text: str) -> tuple[float, float, float]:
+def features(matcher, text: str) -> tuple[float, float, float, int]:
+    """Logarithm of the summed weight, weight for each hundred words, largest weight, number of hits."""
     folded = fold(text)
-    found = Counter((folded[s:e], w) for s, e, w in hits(matcher, folded))
-    if not found:
-        return 0.0, 0.0, 0.0
+    spans = hits(matcher, folded)
+    if not spans:
+        return 0.0, 0.0, 0.0, 0
+    found = Counter((folded[s:e], w) for s, e, w in spans)
     # a term's weight counts in full once, then by the logarithm of how often it comes again
     total = sum(w * (1 + math.log(n)) for (_, w), n in found.items())
-    return math.log1p(max(0.0, total)), min(10.0, 100 * total / max(1, folded.count(" ") - 1)), max(w for _, w in found)
+    return math.log1p(max(0.0, total)), min(10.0, 100 * total / max(1, folded.count(" ") - 1)), max(w for _, w in found), len(spans)
 
 
 def score(curve, f) -> float:
@@ -113,19 +125,22 @@ def _counted(rows: DataFrame, count, schema: str = "term string, bad long, good
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bad, good = Counter(), Counter()
-        for b in parts:
-            count(text_or_empty(b.column("text")), b.column("toxic").to_pylist(), bad, good)
+        for whole in parts:
+            for b in slices(whole):
+                count(text_or_empty(b.column("text")), b.column("toxic").to_pylist(), bad, good)
         terms = sorted(bad.keys() | good.keys())
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([bad[t] for t in terms], pa.int64()), pa.array([good[t] for t in terms], pa.int64())], ["term", "bad", "good"])
 
     return rows.mapInArrow(run, schema).groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
-def fit(rows: DataFrame, max_terms: int = 40_000, least: int = 4, phrases: tuple[str, ...] = ()) -> Lexicon:
+def fit(rows: DataFrame, max_terms: int = 40_000, least: int = 4, phrases: tuple[str, ...] = (), max_phrases: int = 2_000) -> Lexicon:
     """A lexicon of training rows (id, text, toxic), as ``training_rows`` gives them.
 
     Three passes: beginnings and words of toxic texts (the ``max_terms`` most frequent ones found in ``least`` texts or
-    more), their counts in the other texts, and the features and exception phrases. Without rows of both classes the lexicon is empty.
+    more), their counts in the other texts, and the features and exception phrases (``phrases`` and the ``max_phrases`` most frequent ones of clean texts). Both
+    bounds hold the model, which goes to every worker, to a few MB. Terms and phrases of one frequency are taken in alphabetical order. Rows of a null text count as
+    empty ones. Without rows of both classes the lexicon is empty.
     """
     sizes = {int(r["toxic"]): r["count"] for r in rows.groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
@@ -180,16 +195,17 @@ def fit(rows: DataFrame, max_terms: int = 40_000, least: int = 4, phrases: tuple
                     seen.add(f[s : after + 1])
             (bad_ if y == 1 else good_).update(seen)
 
-    learned = _counted(rows, of_phrases).where("good >= 3 and bad = 0").orderBy(F.desc("good"), "term").limit(2000).collect()
+    learned = _counted(rows, of_phrases).where("good >= 3 and bad = 0").orderBy(F.desc("good"), "term").limit(max_phrases).collect()
     lex.phrases += tuple(r["term"] for r in learned)
     every = lex.matcher
 
     def run(parts):
         m = every()
-        for b in parts:
-            f = [features(m, t) for t in text_or_empty(b.column("text"))]
-            cols = [pa.array([x[i] for x in f], pa.float64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*cols, b.column("toxic").cast(pa.int32())], ["a", "b", "c", "y"])
+        for whole in parts:
+            for b in slices(whole):
+                f = [features(m, t) for t in text_or_empty(b.column("text"))]
+                cols = [pa.array([x[i] for x in f], pa.float64()) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*cols, b.column("toxic").cast(pa.int32())], ["a", "b", "c", "y"])
 
     got = rows.mapInArrow(run, "a double, b double, c double, y int").groupBy(*(F.round(c, 2).alias(c) for c in "abc"), "y").count().toPandas()
     lex.curve = _logistic(got[["a", "b", "c"]].to_numpy(), got["y"].to_numpy(float), got["count"].to_numpy(float))
@@ -227,7 +243,7 @@ def toxicity(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col:
     """(id, score, predicted, n_hits) of every row: score in [0, 1], predicted 1 where it is 0.5 or more.
 
     Only the text counts. Null and empty texts have no hits and the score that the curve gives for none. Repeated rows come out as
-    often as they went in, an empty table gives no rows. With ``whole`` the first column is ``row``, a struct of all columns of ``df``
+    often as they went in, equal texts score alike, an empty table gives no rows. Of terms that begin at one place the longest counts. With ``whole`` the first column is ``row``, a struct of all columns of ``df``
     whatever they are called; else other columns are ignored.
     """
     source, kind, first = carried(df, id_col, text_col, whole)
@@ -235,13 +251,11 @@ def toxicity(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _automaton(key)
-        for b in parts:
-            scores, counts = [], []
-            for t in text_or_empty(texts_of(b, text_col, whole)):
-                f = features(m, t)
-                scores.append(score(curve, f))
-                counts.append(0 if f[2] == 0 else len(hits(m, fold(t))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(counts, pa.int32())], ["first", "score", "predicted", "n_hits"])
+        for batch in parts:
+            for b in slices(batch, 0 if whole else "text"):
+                found = [features(m, t) for t in text_or_empty(texts_of(b, text_col, whole))]
+                scores, counts = [score(curve, f) for f in found], [f[3] for f in found]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(counts, pa.int32())], ["first", "score", "predicted", "n_hits"])
 
     return source.mapInArrow(run, f"first {kind}, score double, predicted int, n_hits int").withColumnRenamed("first", first)
 
