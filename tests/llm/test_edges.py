@@ -10,7 +10,7 @@ tokenizers = pytest.importorskip("public_tokenizers")
 BPE = (tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
 MODEL = tokenizers.path("piece_bpe_32k.model")
 LONG = "dài lắm " * 30_000
-ROWS = [(1, None), (2, ""), (3, " \n\t "), (4, "một hai ba bốn năm"), (4, "một hai ba bốn năm"), (5, "một hai ba bốn năm"), (None, "không tên"), (6, LONG), (7, "x" * 3000)]
+ROWS = [(1, None), (2, ""), (3, " \n\t "), (4, "một hai ba bốn năm"), (4, "một hai ba bốn năm"), (5, "một hai ba bốn năm"), (None, "không tên"), (6, LONG), (7, "x" * 3000), (8, "y" * 200_000), (9, "ba " * 60_000)]
 
 
 @pytest.fixture(scope="module")

@@ -37,6 +37,74 @@ def test_byte_bpe_is_the_librarys(t):
     assert np.frombuffer(ids, "<u4").tolist() == enc.encode_ordinary(t) and back.decode() == t
 
 
+def library(name):
+    if name == "op8":
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=tokenizers.path("piece_bpe_32k.model"))
+        return lambda t: sp.encode(t, num_threads=1)
+    import tiktoken
+
+    return tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={}).encode_ordinary
+
+
+LETTERS = {"one": "x" * 200_000, "two": "ab" * 30_000, "random": "".join(random.Random(1).choices("etaoinshrdlu", k=60_000)), "runs": "".join(random.Random(2).choices("aab", k=5_000)), "han": "".join(map(chr, random.Random(3).choices(range(0x4E00, 0x9000), k=20_000)))}
+
+
+@pytest.mark.parametrize("kind", LETTERS)
+def test_words_of_any_length(kind):
+    t = f"so {LETTERS[kind]} und"
+    assert token_counts.counter(tokenizers.path("piece_bpe_32k.model"))([t]) == [len(library("op8")(t))]
+    code = byte_bpe.coder(tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
+    ids, back = code([t])[0]
+    assert back.decode() == t and np.frombuffer(ids, "<u4").tolist() == library("op10")(t)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_windows_without_a_joint_are_merged(seed):
+    # merges of a toy model whose tokens are long for its windows
+    r = random.Random(seed)
+    ranks = {bytes([c]): i for i, c in enumerate(b"abc")}
+    while len(ranks) < 60:
+        a, b = r.choices(list(ranks), k=2)
+        ranks.setdefault(a + b, len(ranks))
+
+    def merge(word):
+        parts = [word[i : i + 1] for i in range(len(word))]
+        while found := [(ranks[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in ranks]:
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        at = np.cumsum([0, *map(len, parts)]).tolist()
+        return list(zip(at, parts, strict=False))
+
+    word = bytes(r.choices(b"abc", weights=(r.randint(1, 9), r.randint(1, 9), 1), k=300))
+    spans = [(a, min(300, a + 24)) for a in range(0, 292, 16)]
+    assert base.stitched(spans, lambda s: [[(a + k, t) for k, t in merge(word[a:b])] for a, b in s]) == merge(word)
+
+
+def test_whole_tables_are_the_libraries(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    count, encode = library("op8"), library("op10")
+    for r in queries.op8_token_counts(spark, sf).collect():
+        assert (r["n_tokens"], r["n_bytes"]) == (len(count(texts[r["doc_id"]])), len(texts[r["doc_id"]].encode()))
+    for r in queries.op10_byte_bpe(spark, sf).collect():
+        ids = encode(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_decoding_a_column_of_ids(spark):
+    path = tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    texts = [None, "", "a b", "漢字 🙂 é", "a b"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = byte_bpe.byte_bpe(d, path, tokenizers.PATTERN).select("doc_id", "ids")
+    got = {r["doc_id"]: bytes(r["decoded"]).decode() for r in byte_bpe.decoded(ids, path, tokenizers.PATTERN).collect()}
+    assert got == {k: t or "" for k, t in enumerate(texts)}
+    with pytest.raises(ValueError):
+        byte_bpe.coder(path, tokenizers.PATTERN).decode([b"\xff\xff\xff\x00"])
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab \n\té.\x0b"), max_size=50))
 def test_word_hashes(t):
@@ -203,13 +271,30 @@ def test_leaks_are_found_and_clean_texts_left(spark):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    d = "/root/testdata/sf0.01"
+    d = "/root/testdata/sf0.1"
     out = queries.op9_toxicity(spark, d).toPandas()
     y = spark.read.parquet(f"{d}/labels.parquet").toPandas()
     m = out.merge(y, on="doc_id")
     m = m[m.held_out]
     assert ((m.score >= 0.5) == (m.predicted == 1)).all() and m.score.between(0, 1).all()
-    assert (m.predicted == m.toxic).mean() >= 0.9
+    both = ((m.predicted == 1) & (m.toxic == 1)).sum()
+    assert both >= 0.85 * (m.toxic == 1).sum() and both >= 0.95 * (m.predicted == 1).sum()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab "), max_size=40), st.lists(st.sampled_from([" a", " ab", " aba", " b ", " bb", " ab "]), unique=True), st.lists(st.sampled_from([" a ab ", " ab a b ", " b ", " aba b "]), unique=True))
+def test_hits_are_those_of_a_naive_matcher(text, terms, phrases):
+    lex = toxicity.Lexicon({t: float(len(t)) for t in terms}, tuple(phrases))
+    f = toxicity.fold(text)
+    clear = [(i, i + len(p)) for p in phrases for i in range(len(f)) if f.startswith(p, i)]
+    want = []
+    for i in range(len(f)):
+        here = [t for t in terms if f.startswith(t, i)]
+        if here:
+            n = max(map(len, here))
+            if not any(a <= i and i + n <= b for a, b in clear):
+                want.append((i, i + n, float(n)))
+    assert sorted(toxicity.hits(lex.matcher(), f)) == want
 
 
 @pytest.mark.parametrize("t", ["1d10t", "іdіоt", "ídíòt", "i​diot", "IDIOT", "id!ot", "ｉｄｉｏｔ"])
@@ -306,8 +391,11 @@ def test_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "conversations", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    a, b = queries.queries()[name](spark, sf).toPandas(), con.execute(queries.oracle_sql()[name]).df()
-    assert sorted(map(tuple, a[sorted(a.columns)].astype(str).values)) == sorted(map(tuple, b[sorted(b.columns)].astype(str).values))
+    rows = queries.queries()[name](spark, sf)
+    names = sorted(rows.columns)
+    a = [tuple(r[c] for c in names) for r in rows.collect()]
+    b = con.execute(f"SELECT {', '.join(names)} FROM ({queries.oracle_sql()[name]})").fetchall()
+    assert sorted(map(repr, a)) == sorted(map(repr, b))
 
 
 def test_ties_inside_a_batch():
