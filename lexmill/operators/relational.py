@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -132,9 +132,10 @@ def common(*frames: DataFrame) -> DataFrame:
 
 
 def latest(df: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """The row of the highest version for each natural key."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(version))
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """The row of the highest version for each natural key; a null version comes before all others. An aggregate, so that a key of many rows is reduced before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(F.col(version).isNotNull(), F.col(version))).alias("__r"))
+    return best.select(*keys, *(F.col(f"__r.{c}").alias(c) for c in rest)).select(*df.columns)
 
 
 def project(df: DataFrame, fields: list[str] | None = None, drop: list[str] | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.session import small
+
 #: A violation: which rule, of which row.
 SHAPE = "rule string, key string"
 
@@ -140,7 +142,7 @@ def illegal_steps(df: DataFrame, key: str, at: str, state: str, allowed: DataFra
     """Steps from one state to another that ``allowed`` (from_state, to_state) does not have."""
     w = Window.partitionBy(key).orderBy(at, row)
     steps = df.withColumn("from_state", F.lag(state).over(w)).where("from_state is not null").withColumn("to_state", F.col(state))
-    return steps.join(F.broadcast(allowed), ["from_state", "to_state"], "left_anti").select(key, row, "from_state", "to_state")
+    return steps.join(small(allowed), ["from_state", "to_state"], "left_anti").select(key, row, "from_state", "to_state")
 
 
 def juvenile_regime(incident: Column, age: Column) -> Column:
@@ -179,7 +181,7 @@ FACTORS = {**{f"MIT-{i:02d}": "mitigating" for i in range(1, 7)}, **{f"AGG-{i:02
 
 def apply_factors(df: DataFrame, key: str, factors: str, term: str, weights: DataFrame) -> DataFrame:
     """(key, adjusted): a term times one and the sum of its factors' weights (factor, weight), zero at least; unknown factors count nothing."""
-    one = df.select(key, F.explode(F.array_distinct(factors)).alias("factor")).join(F.broadcast(weights), "factor").groupBy(key).agg(F.sum("weight").alias("w"))
+    one = df.select(key, F.explode(F.array_distinct(factors)).alias("factor")).join(small(weights), "factor").groupBy(key).agg(F.sum("weight").alias("w"))
     return df.join(one, key, "left").select(key, F.greatest(F.lit(0.0), F.col(term) * (1 + F.coalesce("w", F.lit(0.0)))).alias("adjusted"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.session import small
+
 
 def as_of(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
     """Each fact with the version in force at its day, or nulls where there is none; both ends count, a null end is open.
@@ -23,8 +25,8 @@ def as_of(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, start
 
 
 def in_interval(df: DataFrame, value: str, intervals: DataFrame, start: str, end: str) -> DataFrame:
-    """Each row with the interval that its value lies in; for few intervals, which go to every task."""
-    return df.join(F.broadcast(intervals), (F.col(value) >= F.col(start)) & (F.col(end).isNull() | (F.col(value) <= F.col(end))), "left")
+    """Each row with the interval that its value lies in. Few intervals go to every task; more are joined as Spark sees fit."""
+    return df.join(small(intervals), (F.col(value) >= F.col(start)) & (F.col(end).isNull() | (F.col(value) <= F.col(end))), "left")
 
 
 def next_within(df: DataFrame, key: str, at: str, kind: str, first: str, then: str, span: int, row: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -69,7 +70,14 @@ def chunk_sliding_stats(spark, sf_dir):
     return d.groupBy("doc_id").agg(F.count("*").alias("n_chunks"), F.sum(F.length("chunk")).alias("total"), F.max(F.length("chunk")).alias("longest"))
 
 
-@query()
+@query(r"""
+WITH s AS (SELECT doc_id, text, string_split(regexp_replace(text, '([.!?。])[\s\x0B\x85\xA0]+', '\1' || chr(1), 'g'), chr(1)) AS parts FROM documents),
+f AS (SELECT doc_id, text, list_reduce(list_transform(parts, lambda x: {'done': []::VARCHAR[], 'open': x}), lambda a, b: {
+    'done': CASE WHEN a.open = '' OR length(a.open) + 1 + length(b.open) <= 800 THEN a.done ELSE list_append(a.done, a.open) END,
+    'open': CASE WHEN a.open = '' THEN b.open WHEN length(a.open) + 1 + length(b.open) <= 800 THEN a.open || ' ' || b.open ELSE right(a.open, 80) || ' ' || b.open END}, {'done': []::VARCHAR[], 'open': ''}) AS r FROM s),
+c AS (SELECT doc_id, CASE WHEN length(text) <= 800 THEN [text] WHEN r.open = '' THEN r.done ELSE list_append(r.done, r.open) END AS c FROM f)
+SELECT doc_id, len(c)::INTEGER AS n_chunks, list_max(list_transform(c, lambda x: length(x)))::INTEGER AS longest FROM c
+""")
 def chunk_sentence_stats(spark, sf_dir):
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", chunks.sentence("text", 800, 80).alias("c"))
     return d.select("doc_id", F.size("c").alias("n_chunks"), F.array_max(F.transform("c", lambda x: F.length(x))).alias("longest"))
@@ -260,9 +268,9 @@ def numbered_urls(spark, sf_dir):
 # ------------------------------------------------------------------ joins
 
 
-@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.lang, d.source AS source_jsonl, l.quality, CASE WHEN l.doc_id IS NOT NULL THEN 'labels' END AS source FROM (SELECT * FROM documents WHERE doc_id % 3 <> 0) d FULL JOIN labels l ON d.doc_id = l.doc_id")
+@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.lang, d.source AS source_jsonl, l.quality, CASE WHEN l.doc_id IS NOT NULL THEN 'labels' END AS source FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id")
 def outer_join_conflict(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("doc_id % 3 <> 0").select("doc_id", "lang", "source")
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality", F.lit("labels").alias("source"))
     return relational.outer_join(d, lab, "doc_id")
 
@@ -521,6 +529,57 @@ def axiom_report(spark, sf_dir):
     return names.join(r.groupBy("rule").agg(F.count("*").alias("n")), "rule", "left").select("rule", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+#: Tables of cases made of orders and their lines, with violations of each axiom here and there.
+_CASES = {
+    "case_files": "SELECT o_orderkey AS case_id, CAST(o_orderdate AS DATE) AS incident_date, date_add(CAST(o_orderdate AS DATE), CASE WHEN o_custkey % 50 = 0 THEN -1 ELSE 5 END) AS acceptance_date, date_add(CAST(o_orderdate AS DATE), 30) AS judgment_date, CASE WHEN o_orderkey % 2 = 0 THEN 'Sơ thẩm' ELSE 'Phúc thẩm' END AS trial_level, CASE WHEN o_orderkey % 7 = 0 THEN 'Dân sự' ELSE 'Hình sự' END AS case_type, CASE WHEN o_orderkey % 3 = 0 THEN 'convicted' WHEN o_orderkey % 11 = 0 THEN 'remanded' ELSE 'acquitted' END AS outcome, o_orderstatus = 'F' AS closed, o_orderkey - 1 AS appeal_of FROM orders",
+    "statute_articles": "SELECT p_partkey AS article_id, CASE WHEN p_partkey > 1 THEN p_partkey - 1 END AS replaces_id, date_add(DATE '1995-06-01', CAST(p_partkey % 400 AS INT)) AS effective_from, CASE WHEN p_partkey % 9 = 0 THEN date_add(DATE '1995-06-01', CAST(p_partkey % 400 AS INT) - 1) WHEN p_partkey % 2 = 0 THEN date_add(DATE '1995-06-01', CAST(p_partkey % 400 AS INT)) END AS effective_to FROM part",
+    "codes": "SELECT s_suppkey AS code_id, DATE '2000-01-01' AS enacted_on, date_add(DATE '2000-01-01', CAST(s_suppkey % 3 AS INT) - 1) AS repealed_on FROM supplier",
+    "charges": "SELECT l_orderkey * 100 + l_linenumber AS charge_id, l_orderkey AS case_id FROM lineitem",
+    "charge_articles": "SELECT l_orderkey * 100 + l_linenumber AS charge_id, l_partkey AS article_id FROM lineitem",
+    "indictments": "SELECT l_orderkey AS case_id, CASE WHEN l_linestatus = 'O' THEN 'issued' ELSE 'draft' END AS status FROM lineitem",
+    "lawsuits": "SELECT l_orderkey AS case_id FROM lineitem WHERE l_linenumber <= 2",
+    "verdicts": "SELECT o_orderkey AS verdict_id, o_orderkey AS case_id, CASE WHEN o_orderkey % 2 = 0 THEN 'Sơ thẩm' ELSE 'Phúc thẩm' END AS trial_level, CASE WHEN o_orderkey % 6 = 0 THEN 'convicted' ELSE 'acquitted' END AS outcome FROM orders WHERE o_orderkey % 10 < 7",
+    "sentences": "SELECT l_orderkey * 100 + l_linenumber AS sentence_id, l_orderkey * 100 + l_linenumber AS charge_id, l_orderkey - CASE WHEN l_partkey % 13 = 0 THEN 1 ELSE 0 END AS verdict_id FROM lineitem WHERE l_linenumber = 1",
+    "defendants": "SELECT l_orderkey * 100 + l_linenumber AS defendant_id, l_orderkey AS case_id, CAST(l_quantity AS INT) AS age_determined, CASE WHEN l_quantity < 17 THEN 'pre-2026' END AS juvenile_regime FROM lineitem",
+    "precedents": "SELECT p_partkey AS precedent_id, p_partkey * 9 AS source_case_id FROM part",
+    "case_events": "SELECT l_orderkey AS case_id, CASE WHEN l_returnflag = 'R' THEN 'terminal' ELSE 'hearing' END AS event_kind FROM lineitem",
+    "persons": "SELECT c_custkey AS person_id, CASE WHEN c_custkey % 20 = 0 THEN c_name ELSE repeat('0123456789abcdef', 4) END AS full_name_hash FROM customer",
+    "evidence": "SELECT l_orderkey AS prediction_id, l_linenumber AS edge_id FROM lineitem",
+    "retrieved": "SELECT l_orderkey AS prediction_id, l_linenumber AS edge_id FROM lineitem WHERE l_discount < 0.09",
+    "courts": "SELECT n_nationkey AS court_id, n_regionkey AS court_code FROM nation",
+    "courts_before": "SELECT n_nationkey AS court_id, CASE WHEN n_nationkey % 5 = 0 THEN n_regionkey + 1 ELSE n_regionkey END AS court_code FROM nation",
+}
+#: What breaks each axiom, as (key) rows.
+_BROKEN = {
+    "AX-01": "SELECT article_id::VARCHAR AS key FROM statute_articles WHERE effective_from > effective_to",
+    "AX-02": "SELECT a.article_id::VARCHAR FROM statute_articles a JOIN statute_articles b ON a.replaces_id = b.article_id WHERE b.effective_to IS DISTINCT FROM a.effective_from - 1",
+    "AX-03": "SELECT code_id::VARCHAR FROM codes WHERE enacted_on > repealed_on",
+    "AX-04": "SELECT case_id::VARCHAR FROM case_files WHERE NOT (incident_date <= acceptance_date AND acceptance_date <= judgment_date)",
+    "AX-05": "SELECT charge_id::VARCHAR FROM charges JOIN case_files USING (case_id) JOIN charge_articles USING (charge_id) JOIN statute_articles USING (article_id) GROUP BY charge_id HAVING NOT bool_or(effective_from <= incident_date AND (effective_to IS NULL OR effective_to >= incident_date))",
+    "AX-06": "SELECT case_id::VARCHAR FROM indictments JOIN case_files USING (case_id) WHERE status = 'issued' GROUP BY case_id, trial_level HAVING count(*) > 1",
+    "AX-07": "SELECT DISTINCT case_id::VARCHAR FROM indictments JOIN case_files USING (case_id) WHERE case_type <> 'Hình sự'",
+    "AX-08": "SELECT case_id::VARCHAR FROM lawsuits JOIN case_files USING (case_id) WHERE case_type <> 'Hình sự' GROUP BY case_id HAVING count(*) > 1",
+    "AX-09": "SELECT sentence_id::VARCHAR FROM sentences s JOIN charges c USING (charge_id) JOIN verdicts v USING (verdict_id) WHERE c.case_id <> v.case_id",
+    "AX-10": "SELECT case_id::VARCHAR FROM case_files WHERE outcome = 'convicted' AND case_id NOT IN (SELECT case_id FROM verdicts WHERE outcome = 'convicted') AND case_id NOT IN (SELECT case_id FROM sentences JOIN charges USING (charge_id))",
+    "AX-11": "SELECT verdict_id::VARCHAR FROM verdicts v JOIN case_files c USING (case_id) WHERE v.trial_level = 'Phúc thẩm' AND c.appeal_of NOT IN (SELECT case_id FROM verdicts WHERE trial_level = 'Sơ thẩm')",
+    "AX-12": "SELECT defendant_id::VARCHAR FROM defendants JOIN case_files USING (case_id) WHERE case_type = 'Hình sự' AND age_determined < 14",
+    "AX-13": "SELECT precedent_id::VARCHAR FROM precedents LEFT JOIN case_files ON case_id = source_case_id WHERE outcome IS NULL OR outcome = 'remanded'",
+    "AX-14": "SELECT case_id::VARCHAR FROM case_files c WHERE closed AND (SELECT count(*) FROM case_events e WHERE e.case_id = c.case_id AND event_kind = 'terminal') <> 1",
+    "AX-15": "SELECT person_id::VARCHAR FROM persons WHERE NOT regexp_full_match(full_name_hash, '[0-9a-f]{64}')",
+    "AX-16": "SELECT prediction_id::VARCHAR || '|' || edge_id::VARCHAR FROM evidence ANTI JOIN retrieved USING (prediction_id, edge_id)",
+    "AX-17": "SELECT defendant_id::VARCHAR FROM defendants JOIN case_files USING (case_id) WHERE (juvenile_regime IS NOT NULL OR age_determined < 18) AND juvenile_regime IS DISTINCT FROM CASE WHEN age_determined < 18 THEN CASE WHEN incident_date >= DATE '2026-01-01' THEN 'ltpctn-2024' ELSE 'pre-2026' END END",
+    "AX-18": "SELECT court_code::VARCHAR FROM courts GROUP BY court_code HAVING count(*) > 1 UNION ALL SELECT court_id::VARCHAR FROM (SELECT * FROM courts_before EXCEPT ALL SELECT * FROM courts)",
+}
+
+
+@query("SELECT * FROM (WITH " + ", ".join(f"{k} AS ({re.sub(r'date_add[(](.*?), (CASE.*?END|CAST[(].*? AS INT[)](?: - 1)?|[0-9]+)[)]', r'(\1 + (\2)::INTEGER)', v)})" for k, v in _CASES.items()) + " " + " UNION ALL ".join(f"SELECT '{k}' AS rule, count(*) AS n, min(key) AS first_key FROM ({v.replace('::VARCHAR', '::VARCHAR AS key', 1) if ' AS key' not in v and k != 'AX-16' else v.replace('edge_id::VARCHAR', 'edge_id::VARCHAR AS key')}) x" for k, v in _BROKEN.items()) + ") WHERE n > 0")
+def axioms_of_cases(spark, sf_dir):
+    for t in ("orders", "lineitem", "part", "supplier", "customer", "nation"):
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
+    found = rules.axioms({k: spark.sql(v) for k, v in _CASES.items()})
+    return found.groupBy("rule").agg(F.count("*").alias("n"), F.min("key").alias("first_key"))
+
+
 @query("SELECT user_id, event_id, p AS from_state, event_type AS to_state FROM (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS NOT NULL AND NOT (p = event_type OR (p = 'view' AND event_type = 'click') OR (p = 'click' AND event_type = 'purchase'))")
 def state_machine(spark, sf_dir):
     kinds = [r[0] for r in table(spark, sf_dir, "events").select("event_type").distinct().collect()]
@@ -656,7 +715,9 @@ def pagerank_k(spark, sf_dir):
     return graph.pagerank(_order_edges(spark, sf_dir).where("type = 'has'"), 5).select("vertex", F.round("rank", 8).alias("rank"))
 
 
-@query()
+@query(f"""
+WITH e AS (SELECT DISTINCT src, dst FROM ({_EDGES}) WHERE type = 'has'), b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), r0 AS (SELECT DISTINCT src AS vertex, src AS community FROM b),
+""" + ",\n".join(f"r{k} AS (SELECT src AS vertex, first(community ORDER BY n DESC, community) AS community FROM (SELECT b.src, l.community, count(*) AS n FROM b JOIN r{k - 1} l ON l.vertex = b.dst GROUP BY ALL) GROUP BY src)" for k in range(1, 5)) + "\nSELECT vertex, community FROM r4")
 def communities(spark, sf_dir):
     return graph.communities(_order_edges(spark, sf_dir).where("type = 'has'"), 4)
 

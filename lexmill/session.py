@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def session(app: str = "lexmill", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -27,9 +28,11 @@ def session(app: str = "lexmill", master: str | None = None, shuffle_partitions:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset and all runs on this machine (tests). Raises on a cluster without the setting."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="lexmill-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
@@ -48,15 +51,27 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it again: lineage ends there, and a lost executor costs no recomputation."""
+    """Writes ``df`` to the shared folder and reads it again: lineage ends there, and a lost executor costs no recomputation. What ``unstore`` has not freed goes when the session ends."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    free_at_end(spark, path)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["stored_at"] = path
     return out
 
 
+def free_at_end(spark: SparkSession, path: str) -> None:
+    """Has the file system delete a folder when the driver ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Marks a table for broadcast if it has so many rows at most; else joins shuffle it. The check reads no more rows than that."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def unstore(df: DataFrame) -> None:
     """Frees what ``stored`` wrote, once nothing reads it any more."""
     if path := df.__dict__.get("stored_at"):

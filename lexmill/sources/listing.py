@@ -24,7 +24,7 @@ def numbered(spark: SparkSession, start: int, end: int, template: str) -> DataFr
 
 
 def last_page(is_past: Callable[[int], bool], start: int = 1, cap: int = 10_000) -> int:
-    """The last page that isn't past the end: probes at doubling distances, then halves. ``start - 1`` if there is none, ``cap`` at most."""
+    """The last page that isn't past the end: probes at doubling distances, then halves. ``start - 1`` if there is none; raises where the pages go on beyond ``cap``."""
     if is_past(start):
         return start - 1
     low, step = start, 1
@@ -35,6 +35,8 @@ def last_page(is_past: Callable[[int], bool], start: int = 1, cap: int = 10_000)
     while high - low > 1:
         mid = (low + high) // 2
         low, high = (low, mid) if is_past(mid) else (mid, high)
+    if low == cap and not is_past(cap + 1):
+        raise ValueError(f"the listing goes on beyond page {cap}")
     return low
 
 

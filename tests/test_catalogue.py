@@ -36,4 +36,4 @@ def test_query(spark, sf, db, name):
 
 
 def test_every_query_but_few_has_sql():
-    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"chunk_sentence_stats", "pca_2d", "hdbscan", "communities"}
+    assert set(catalogue.queries()) - set(catalogue.oracle_sql()) == {"pca_2d", "hdbscan"}

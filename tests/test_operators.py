@@ -240,3 +240,30 @@ def test_as_of_keeps_repeated_facts(spark):
     out = temporal.as_of(f, v, ["k"], "at")
     assert out.columns == ["k", "at", "valid_from", "valid_to", "n"]
     assert sorted((r["k"], r["n"]) for r in out.collect() if r["k"] == "A") == [("A", 2)] * 3 and [r["n"] for r in out.collect() if r["k"] == "B"] == [None] * 2
+
+
+def test_citation_lookups(spark):
+    rows = [("case:1", "charge:a", "has_charge"), ("case:1", "charge:b", "has_charge"), ("case:2", "charge:b", "has_charge"), ("charge:a", "article:7", "charged_under"), ("charge:b", "article:7", "charged_under"), ("charge:b", "article:9", "charged_under"), ("case:2", "precedent:5", "cites_precedent"), ("case:2", "precedent:5", "cites_precedent")]
+    e = spark.createDataFrame([(*r, float(k), None, None) for k, r in enumerate(rows)], "src string, dst string, type string, weight double, valid_from date, valid_to date")
+    assert sorted(r["article"] for r in graph.charge_articles(e, "charge:b").collect()) == ["article:7", "article:9"]
+    assert sorted(r["case"] for r in graph.article_cases(e, "article:7").collect()) == ["case:1", "case:2"]
+    assert [(r["case"], r["weight"]) for r in graph.precedent_cases(e, "precedent:5").collect()] == [("case:2", 7.0)]
+
+
+def test_what_goes_on_beyond_a_bound_raises(spark):
+    tree = spark.createDataFrame([("b", "a"), ("c", "b"), ("a", "c")], "node string, parent string")
+    with pytest.raises(ValueError):
+        graph.descend(tree, "a")
+    with pytest.raises(ValueError):
+        listing.last_page(lambda p: False, cap=50)
+
+
+def test_equal_vectors_at_the_last_place_are_cut_by_id(spark):
+    d = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(50)] + [(99, [0.0, 1.0])], "vec_id long, embedding array<double>").coalesce(1)
+    got = [r["neighbour"] for r in knn.nearest(d, d.where("vec_id = 30"), 3).orderBy("rank").collect()]
+    assert got == [0, 1, 2]
+
+
+def test_latest_is_one_row_of_a_key(spark):
+    d = spark.createDataFrame([(1, None, "x"), (1, 2, "y"), (1, 1, "z"), (2, None, "w")], "k long, version long, v string")
+    assert sorted((r["k"], r["v"]) for r in relational.latest(d, ["k"], "version").collect()) == [(1, "y"), (2, "w")]
