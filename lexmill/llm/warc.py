@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.session import stored, unstore
+
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Records of one file; files are read whole by one task each, so this and the pages' size bound a task.
-RECORDS_PER_FILE = 20_000
+#: Payload bytes and records of one file, as far as pages are of like sizes; files are read whole by one task each, so this bounds a task.
+BYTES_PER_FILE, RECORDS_PER_FILE = 128 << 20, 20_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -29,8 +31,8 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def _record_id(kind: str, page: Column, digest: Column) -> Column:
-    h = F.md5(F.concat_ws("|", F.lit(kind), F.coalesce(page.cast("string"), F.lit("")), digest).cast("binary"))
+def _record_id(kind: str, row: Column, copy: Column) -> Column:
+    h = F.md5(F.concat_ws("|", F.lit(kind), row, copy.cast("string")).cast("binary"))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -43,25 +45,36 @@ def _record(kind: str | Column, record_id: Column, uri: Column, date: str, field
     return F.concat(F.lit("WARC/1.1" + CRLF), *lines, F.lit(CRLF), *content)
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", records_per_file: int = RECORDS_PER_FILE) -> None:
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", records_per_file: int = RECORDS_PER_FILE, bytes_per_file: int = BYTES_PER_FILE) -> None:
     """Writes a request, a response or revisit, and a metadata record for each row (page_id, url, html).
 
     The payload is the html in UTF-8, empty where it is null. Of rows with equal payloads of ``min_bytes`` or more, that with the largest
-    page_id is the response that the others revisit; rows with a null page_id come before all others. Rows that repeat page_id and payload are
-    one capture. Line ends in a url are left out; a null url leaves the field out. An empty table writes an empty archive.
+    page_id is the response that the others revisit; rows with a null page_id come before all others. Every row is a capture of its own: of rows that repeat
+    page_id and payload one is the response, and equal rows are told apart by number. Line ends in a url are left out; a null url leaves the field out. An empty
+    table writes an empty archive. Other columns are ignored.
     """
     p = pages.select("page_id", F.regexp_replace("url", "[\r\n]", "").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("digest", base32_sha1(F.col("html").cast("binary"))).withColumn("size", F.octet_length("html"))
+    p = p.withColumn("same", F.md5(F.to_json(F.struct("page_id", "url", "digest"))))
+    light = stored(p.select("page_id", "digest", "size", "same"), "payloads")
+    pages_in, bytes_in = light.agg(F.count("*"), F.sum("size")).first()
+    # equal rows are few or none; where there are some, one of each is written as often as it came
+    again = light.groupBy("same").agg(F.count("*").alias("n")).where("n > 1")
+    if again.isEmpty():
+        p = p.withColumn("copy", F.lit(1))
+    else:
+        more = p.join(again, "same").groupBy("same").agg(*(F.any_value(c).alias(c) for c in ("page_id", "url", "html", "digest", "size")), F.max("n").alias("n"))
+        p = p.join(again, "same", "left_anti").withColumn("copy", F.lit(1)).unionByName(more.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("n"))
     # Reduced before it is joined, so that a payload of very many pages is one row on this side and may be split on the other.
-    shared = p.select("page_id", "digest", "size").where(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("origin"), F.count("*").alias("n")).where("n > 1 and origin is not null").drop("n")
-    p = p.join(shared.withColumnRenamed("digest", "shared_digest"), (F.col("digest") == F.col("shared_digest")) & (F.col("size") >= min_bytes), "left")
-    revisit = F.col("origin").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("origin"))
-    own = _record_id("capture", F.col("page_id"), F.col("digest"))
-    p = p.withColumn("revisit", revisit).withColumn("own", own)
+    shared = light.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.max(F.struct("page_id", "same")).alias("o"), F.count("*").alias("n")).where("n > 1 and o.page_id is not null")
+    shared = shared.select(F.col("digest").alias("shared_digest"), F.col("o.same").alias("origin"))
+    p = p.join(shared, (F.col("digest") == F.col("shared_digest")) & (F.col("size") >= min_bytes), "left")
+    revisit = F.col("origin").isNotNull() & ((F.col("same") != F.col("origin")) | (F.col("copy") > 1))
+    p = p.withColumn("revisit", revisit).withColumn("own", _record_id("capture", F.col("same"), F.col("copy")))
     host = F.coalesce(F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1), F.lit(""))
     target = F.coalesce(F.nullif(F.regexp_replace("url", "^[a-z]+://[^/?#]*", ""), F.lit("")), F.lit("/"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("size").cast("string"), F.lit(CRLF + CRLF))
-    refers = F.when(F.col("revisit"), _record_id("capture", F.col("origin"), F.col("digest")))
+    refers = F.when(F.col("revisit"), _record_id("capture", F.col("origin"), F.lit(1)))
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
     capture = _record(
         F.when(F.col("revisit"), F.lit("revisit")).otherwise(F.lit("response")), F.col("own"), F.col("url"), date,
@@ -69,10 +82,13 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
         http, F.when(F.col("revisit"), F.lit("")).otherwise(F.col("html")),
     )
     to = [("WARC-Concurrent-To", F.col("own"))]
-    request = _record("request", _record_id("request", F.col("page_id"), F.col("digest")), F.col("url"), date, to, "application/http; msgtype=request", F.concat(F.lit("GET "), target, F.lit(f" HTTP/1.1{CRLF}Host: "), host, F.lit(CRLF + CRLF)))
-    meta = _record("metadata", _record_id("metadata", F.col("page_id"), F.col("digest")), F.col("url"), date, to, "application/warc-fields", F.coalesce(F.concat(F.lit("pageId: "), F.col("page_id").cast("string"), F.lit(CRLF)), F.lit(CRLF)))
+    request = _record("request", _record_id("request", F.col("same"), F.col("copy")), F.col("url"), date, to, "application/http; msgtype=request", F.concat(F.lit("GET "), target, F.lit(f" HTTP/1.1{CRLF}Host: "), host, F.lit(CRLF + CRLF)))
+    meta = _record("metadata", _record_id("metadata", F.col("same"), F.col("copy")), F.col("url"), date, to, "application/warc-fields", F.coalesce(F.concat(F.lit("pageId: "), F.col("page_id").cast("string"), F.lit(CRLF)), F.lit(CRLF)))
     rows = p.select(F.explode(F.array(request, capture, meta)).alias("value"))
-    rows.write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+    # three records a page; the html's length tells how many pages fill a file
+    fit = 3 * max(1, bytes_per_file * (pages_in or 1) // max(1, bytes_in or 1))
+    rows.write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", min(records_per_file, fit)).text(path)
+    unstore(light)
 
 
 class Reader:
@@ -83,22 +99,24 @@ class Reader:
         self.zip = zlib.decompressobj(31) if data[:2] == b"\x1f\x8b" else None
         self.have = b""
 
-    def more(self) -> bool:
-        if self.at >= len(self.data):
-            return False
-        part = self.data[self.at : self.at + (1 << 18)]
-        self.at += len(part)
-        if self.zip is None:
-            self.have += bytes(part)
-            return True
-        out = [self.have]
-        while len(part):
-            out.append(self.zip.decompress(part))
-            part = self.zip.unused_data
-            if self.zip.eof:  # the next member, of archives with one for each record
-                self.zip = zlib.decompressobj(31)
+    def more(self, want: int = 1) -> bool:
+        """Adds at least ``want`` bytes to what is there, joined once whatever their number; says whether there were any."""
+        out, got = [self.have], 0
+        while got < want and self.at < len(self.data):
+            part = self.data[self.at : self.at + (1 << 18)]
+            self.at += len(part)
+            if self.zip is None:
+                out.append(bytes(part))
+                got += len(part)
+                continue
+            while len(part):
+                out.append(self.zip.decompress(part))
+                got += len(out[-1])
+                part = self.zip.unused_data
+                if self.zip.eof:  # the next member, of archives with one for each record
+                    self.zip = zlib.decompressobj(31)
         self.have = b"".join(out)
-        return True
+        return got > 0
 
     def __iter__(self) -> Iterator[tuple[dict[str, str], bytes]]:
         start = 0
@@ -118,7 +136,7 @@ class Reader:
             body = end + 4
             while len(self.have) < body + size + 4:
                 self.have, body, start = self.have[start:], body - start, 0
-                if not self.more():
+                if not self.more(body + size + 4 - len(self.have)):
                     raise ValueError("an archive ends inside a record")
             yield fields, self.have[body : body + size]
             start = body + size + 4

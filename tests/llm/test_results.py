@@ -351,12 +351,25 @@ def test_warc_round_trip(spark, sf):
         assert out.payload_digest[r.page_id] == base64.b32encode(hashlib.sha1(body).digest()).decode() and out.payload_bytes[r.page_id] == len(body)
 
 
+def test_files_of_archives_are_bounded(spark):
+    from lexmill.session import new_path
+
+    d = spark.createDataFrame([(k, "http://a/", f"{k} " + "x" * 10_000) for k in range(60)], "page_id long, url string, html string").coalesce(1)
+    path = new_path(spark, "warc-files")
+    warc.write_archives(d, path, bytes_per_file=100_000)
+    files = spark.read.format("binaryFile").load(path).count()
+    assert 6 <= files <= 8 and warc.captures(warc.read_archives(spark, path)).count() == 60
+
+
 def test_archives_of_members():
     import gzip
 
     one = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <a>\r\nContent-Length: 5\r\n\r\nab\r\nc\r\n\r\n"
     for data in (one * 3, gzip.compress(one) * 3, gzip.compress(one * 3)):
         assert [b for _, b in warc.Reader(data)] == [b"ab\r\nc"] * 3
+    large = b"WARC/1.1\r\nWARC-Type: x\r\nContent-Length: 30000000\r\n\r\n" + b"y" * 30_000_000 + b"\r\n\r\n"
+    for data in (large + one, gzip.compress(large, 1) + gzip.compress(one)):
+        assert [len(b) for _, b in warc.Reader(data)] == [30_000_000, 5]
     with pytest.raises(ValueError):
         list(warc.Reader(one[:-6]))
 
