@@ -1,12 +1,13 @@
 """Near-duplicate vectors by a flat, robust-pruned neighbour graph.
 
 1. Equal vectors of a label are one class. Centroids of a bounded sample cut each label into shards that overlap: a vector
-   also joins those whose cell border is near enough for a linked one to lie behind it.
+   also joins those whose cell border is near enough for a linked one to lie behind it. How near that is, links of the data itself say: some
+   vectors are compared with all of their label, and the borders take in what nearly all of their links need; where they have too few, what any link could need.
 2. Each shard, in blocks of bounded size, builds a graph: nearest and random candidates are pruned so that no kept neighbour
    makes another one needless. The adjacency lists that a vector has in its shards are united.
 3. Each vector is searched for in its home shard: greedily from the medoids, then on from everything in range until nothing
    new is in range. Some queries of each task are audited against an exact scan; where recall falls short, the beam widens.
-4. Whatever is found is verified by cosine in double precision. Only counts and one link for each vector leave a task.
+4. Whatever is found is verified by cosine in double precision and counts for both ends. Only counts and one link for each vector leave a task.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.base import batches
 from lexmill.operators.components import connected_components
-from lexmill.session import spread, stored
+from lexmill.session import spread, stored, unstore
 
 #: Vectors that centroids are fitted on, of a shard as it should be, of a block at most; neighbours kept, of them random; beam.
 SAMPLE, SHARD, BLOCK, NEAR, FAR, BEAM = 20_000, 1_000, 4_096, 20, 6, 16
 #: Queries of a task that are audited, and the recall they have to reach.
 AUDIT, RECALL = 32, 0.99
+#: Vectors compared with all of their label, links they must have to set the borders by, share of these links that borders take in, and steps of a border's width.
+PROBES, ENOUGH, TAKEN, STEPS = 256, 500, 0.9995, 64
 
 
 def matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -51,16 +54,29 @@ def centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarr
     return c
 
 
-def cells(x: np.ndarray, c: np.ndarray, threshold: float) -> list[list[int]]:
+def widest(threshold: float) -> float:
+    """How far a linked vector's home cell can lie from a vector at most, in ``cells``' measure; a hair more, for rounding."""
+    return math.sqrt(max(0.0, 1 - threshold**2)) + 1e-6 if threshold > 0 else 1.0 + 1e-6
+
+
+def needs(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """For unit vectors in pairs, the border that brings one of them into the other's home cell: 0 where they have the same."""
+    hx, hy = (x @ c.T).argmax(1), (y @ c.T).argmax(1)
+    apart = np.maximum(np.linalg.norm(c[hx] - c[hy], axis=1), 1e-6)
+    step = c[hx] - c[hy]
+    return np.where(hx == hy, 0.0, np.minimum(np.einsum("ij,ij->i", x, step), -np.einsum("ij,ij->i", y, step)) / apart)
+
+
+def cells(x: np.ndarray, c: np.ndarray, threshold: float, share: float = 1.0) -> list[list[int]]:
     """The clusters of each unit vector, its home first, then all that can be home to a vector linked with it.
 
     A cell's border is a plane through the origin; what is linked over it stands at no larger an angle to it than the threshold's, whatever the data.
+    ``share``: how much of that width the border takes in.
     """
     sims = x @ c.T
     home = sims.argmax(1)
     apart = np.sqrt(np.maximum(2 - 2 * c @ c.T, 1e-12))
-    # a hair more, for rounding
-    margin = math.sqrt(max(0.0, 1 - threshold**2)) + 1e-6 if threshold > 0 else 1.0 + 1e-6
+    margin = share * widest(threshold)
     out = []
     for i, h in enumerate(home.tolist()):
         near = np.flatnonzero(sims[i, h] - sims[i] <= margin * apart[h])
@@ -207,8 +223,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_i
 
     Vectors that are null, empty, zero, or hold null or non-finite components, and rows with a null id or label, link with nothing: n_links 0, component_id
     their own id. Vectors of different lengths don't link. Rows that repeat an id are one vector and all come out; equal vectors
-    link. component_id is the smallest id reachable by links; kept says that it is the row's own. audit_links and audit_found: for audited queries the links that an exact
-    scan of their shard has and the search found before its last widening, else null. Other columns are ignored; an empty table gives no rows.
+    link. component_id is the smallest id reachable by links; kept says that it is the row's own. audit_links and audit_found: for PROBES vectors the links that an exact
+    scan of their whole label has and those found, else null; ties between equally near vectors decide no link. Other columns are ignored; an empty table gives no rows.
     """
     spark = df.sparkSession
     batches(spark, 2000)
@@ -231,6 +247,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_i
         x = unit(x / np.abs(x).max(1, keepdims=True))
         centers[d] = centroids(x, min(k, max(1, len(x) // 10)))
 
+    asked_all, share = _probes(classes, centers, threshold)
+
     def assign(parts):
         for b in parts:
             lists = b.column("v").to_pylist()
@@ -240,13 +258,13 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_i
                 if d in centers:
                     x = np.array([lists[i] for i in at], np.float64)
                     x = unit(x / np.abs(x).max(1, keepdims=True))
-                    for i, c in zip(at, cells(x, centers[d], threshold), strict=True):
+                    for i, c in zip(at, cells(x, centers[d], threshold, share), strict=True):
                         out[i] = c
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.list_(pa.int32()))], [*b.schema.names, "cells"])
 
     placed = spread(classes).mapInArrow(assign, f"label {kinds['label']}, v {kinds['v']}, rep {kinds['id']}, w bigint, cells array<int>")
-    member = placed.select("label", F.size("v").alias("d"), "rep", "v", "w", F.posexplode("cells").alias("pos", "cell")).withColumn("home", F.col("pos") == 0).drop("pos")
-    member = stored(member, "members")
+    member = placed.select("label", F.size("v").alias("d"), "rep", "v", "w", F.get("cells", F.lit(0)).alias("hc"), "cells", F.posexplode("cells").alias("pos", "cell")).withColumn("home", F.col("pos") == 0).drop("pos")
+    member = member_at = stored(member, "members")
     shard = ["label", "d", "cell"]
     sizes = member.groupBy(*shard).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.greatest(F.lit(1), F.ceil(F.count_if("home") / BLOCK)).cast("int").alias("chunks"))
     member = member.join(sizes, shard).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn("chunk", F.pmod(F.xxhash64("rep", F.lit(1)), "chunks").cast("int"))
@@ -264,20 +282,69 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_i
     lists = member.groupBy(*shard, "block").applyInArrow(build, f"rep {kinds['id']}, to array<{kinds['id']}>")
     graph = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("to"))).alias("to"))
     whole = member.join(graph, "rep")
-    data = whole.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*shard, F.col("block").alias("b"), "c", "rep", "v", "w", "to", F.lit(True).alias("indexed"), (F.col("home") & (F.col("chunk") == F.col("c"))).alias("asked"))
-    asked = whole.where("home and blocks > 1").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("b <> block").select(*shard, "b", F.col("chunk").alias("c"), "rep", "v", "w", F.col("to"), F.lit(False).alias("indexed"), F.lit(True).alias("asked"))
+    data = whole.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*shard, F.col("block").alias("b"), "c", "rep", "v", "w", "hc", "cells", "to", F.lit(True).alias("indexed"), (F.col("home") & (F.col("chunk") == F.col("c"))).alias("asked"))
+    asked = whole.where("home and blocks > 1").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("b <> block").select(*shard, "b", F.col("chunk").alias("c"), "rep", "v", "w", "hc", "cells", F.col("to"), F.lit(False).alias("indexed"), F.lit(True).alias("asked"))
 
     def search(t: pa.Table) -> pa.Table:
         return _search(t, threshold)
 
-    found = data.unionByName(asked).groupBy(*shard, "b", "c").applyInArrow(search, f"rep {kinds['id']}, root {kinds['id']}, links bigint, audit_links bigint, audit_found bigint")
+    found = data.unionByName(asked).groupBy(*shard, "b", "c").applyInArrow(search, f"rep {kinds['id']}, root {kinds['id']}, links bigint")
     found = stored(found, "found")
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("audit_links").alias("audit_links"), F.sum("audit_found").alias("audit_found"))
+    unstore(member_at)
+    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     whole_parts = connected_components(found, "rep", "root").withColumnRenamed("node", "rep")
-    named = classes.join(counts, "rep", "left").join(whole_parts, "rep", "left").select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("links"), F.coalesce("component", "rep").alias("component"), "audit_links", "audit_found")
+    named = classes.join(counts, "rep", "left").join(whole_parts, "rep", "left").join(F.broadcast(asked_all), "rep", "left").select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("links"), F.coalesce("component", "rep").alias("component"), "audit_links")
     out = v.join(named, ["label", "v"], "left").withColumn("component", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")))
     links = F.when(F.col("id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(F.lit(0)).cast("long")
-    return out.select(F.col("id").alias(id_col), links.alias("n_links"), F.col("component").alias("component_id"), F.coalesce(F.col("component") == F.col("id"), F.lit(False)).alias("kept"), "audit_links", "audit_found")
+    return out.select(F.col("id").alias(id_col), links.alias("n_links"), F.col("component").alias("component_id"), F.coalesce(F.col("component") == F.col("id"), F.lit(False)).alias("kept"), "audit_links", F.when(F.col("audit_links").isNotNull(), links).alias("audit_found"))
+
+
+def _probes(classes: DataFrame, centers: dict[int, np.ndarray], threshold: float) -> tuple[DataFrame, float]:
+    """Links of PROBES classes by an exact scan of all: (rep, audit_links) rows, and the share of the widest border that takes in TAKEN of them.
+
+    The probes go to every task; what comes back is a number for each probe and step.
+    """
+    spark = classes.sparkSession
+    rows = classes.orderBy(F.xxhash64("rep", F.lit(11)), "rep").limit(PROBES).toPandas()
+    reps, labels, weight = rows["rep"].tolist(), np.array(rows["label"].tolist(), dtype=object), rows["w"].to_numpy()
+    by_size = {}
+    for i, v in enumerate(rows["v"]):
+        by_size.setdefault(len(v), []).append(i)
+    probes = {}
+    for d, at in by_size.items():
+        x = np.array([rows["v"][i] for i in at], np.float64)
+        probes[d] = np.array(at), unit(x / np.abs(x).max(1, keepdims=True))
+    wide, steps = widest(threshold), STEPS
+
+    def scan(parts):
+        links, bins = np.zeros(len(reps), np.int64), np.zeros(steps + 1, np.int64)
+        for b in parts:
+            lists, own, w, ids = b.column("v").to_pylist(), b.column("label").to_pylist(), b.column("w").to_numpy(), b.column("rep").to_pylist()
+            for d, (at, q) in probes.items():
+                here = [i for i, x in enumerate(lists) if len(x) == d]
+                if not here:
+                    continue
+                x = np.array([lists[i] for i in here], np.float64)
+                x = unit(x / np.abs(x).max(1, keepdims=True))
+                i, j = np.nonzero(x @ q.T >= threshold)
+                ok = np.array([own[here[a]] == labels[at[c]] and ids[here[a]] != reps[at[c]] for a, c in zip(i.tolist(), j.tolist(), strict=True)], bool)
+                i, j = i[ok], j[ok]
+                np.add.at(links, at[j], w[np.array(here)[i]] if len(i) else 0)
+                if d in centers and len(i):
+                    step = np.ceil(np.clip(needs(x[i], q[j], centers[d]) / wide, 0, 1) * steps).astype(np.int64)
+                    bins += np.bincount(step, minlength=steps + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(links) + len(bins))), pa.array(np.concatenate((links, bins)))], ["i", "n"])
+
+    got = np.zeros(len(reps) + steps + 1, np.int64)
+    for r in spread(classes).mapInArrow(scan, "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        got[r["i"]] = r["n"]
+    links, bins = got[: len(reps)], got[len(reps) :]
+    many = max((len(c) for c in centers.values()), default=1) > 1
+    share = 1.0
+    if many and bins.sum() >= ENOUGH:
+        share = min(1.0, (int(np.searchsorted(bins.cumsum(), TAKEN * bins.sum())) + 1) / steps)
+    kind = classes.schema["rep"].dataType.simpleString()
+    return spark.createDataFrame([(r, int(n) + int(w) - 1) for r, n, w in zip(reps, links, weight, strict=True)], f"rep {kind}, audit_links bigint"), share
 
 
 def _search(t: pa.Table, threshold: float) -> pa.Table:
@@ -295,9 +362,9 @@ def _search(t: pa.Table, threshold: float) -> pa.Table:
     id_type = t.schema.field("rep").type
     root = np.arange(len(rep))
     links = np.zeros(len(rep), np.int64)
-    audit = [None] * len(rep)
-    heard = [None] * len(rep)
+    cell, homes = t.column("cell")[0].as_py(), t.column("hc").to_numpy()
     if len(at) and len(q):
+        shards = t.column("cells").to_pylist()
         g = Graph(x[at], lists)
         own = np.array([place.get(r, -1) if indexed[i] else -1 for i, r in zip(q.tolist(), rep[q].tolist(), strict=True)])
         # a hair below the threshold; the exact check follows
@@ -313,9 +380,6 @@ def _search(t: pa.Table, threshold: float) -> pa.Table:
             if beam >= len(at) or (got & exact).sum() >= RECALL * exact.sum():
                 break
             beam *= 2
-        for i, p in enumerate(q[probe].tolist()):
-            self_ = own[probe[i]] >= 0
-            audit[p], heard[p] = int(exact[i] @ w[at]) - int(self_) * int(w[p]), int((got[i] & exact[i]) @ w[at]) - int(self_) * int(w[p])
         for s in range(0, len(q), step):
             part = q[s : s + step]
             a, b = g.search(x[part], own[s : s + step], slack, beam)
@@ -327,6 +391,11 @@ def _search(t: pa.Table, threshold: float) -> pa.Table:
             ok = np.einsum("ij,ij->i", raw[a], raw[b]) / (na * nb) >= threshold
             a, b = a[ok], b[ok]
             links += np.bincount(a, w[b], len(rep)).astype(np.int64)
+            # what is at home elsewhere looks for its links there, and does not find those that are not in that shard
+            away = np.flatnonzero(homes[b] != cell)
+            for i, j in zip(a[away].tolist(), b[away].tolist(), strict=True):
+                if homes[j] not in shards[i]:
+                    links[j] += w[i]
             while len(a):
                 low = np.minimum(root[a], root[b])
                 before = root.copy()
@@ -337,4 +406,4 @@ def _search(t: pa.Table, threshold: float) -> pa.Table:
                     break
     # a place in the table has one identifier; the smallest place of a part is any member of it
     roots = [rep[i] for i in root.tolist()]
-    return pa.table({"rep": pa.array(rep.tolist(), id_type), "root": pa.array(roots, id_type), "links": links, "audit_links": pa.array(audit, pa.int64()), "audit_found": pa.array(heard, pa.int64())})
+    return pa.table({"rep": pa.array(rep.tolist(), id_type), "root": pa.array(roots, id_type), "links": links})

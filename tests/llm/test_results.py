@@ -532,6 +532,7 @@ def test_many_shards_lose_no_link(spark, monkeypatch):
     from lexmill.llm import embedding_graph
 
     monkeypatch.setattr(embedding_graph, "SHARD", 40)
+    monkeypatch.setattr(embedding_graph, "BLOCK", 64)  # shards have several blocks and chunks
     r = np.random.default_rng(10)
     turn = np.linalg.qr(r.normal(size=(64, 6)))[0].T
     base_ = embedding_graph.unit(r.normal(size=(200, 6)))
@@ -539,8 +540,30 @@ def test_many_shards_lose_no_link(spark, monkeypatch):
     d = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(u)], "vec_id long, embedding array<double>, label int")
     hit = u @ u.T >= 0.93
     np.fill_diagonal(hit, False)
-    got = {q["vec_id"]: q["n_links"] for q in embedding_graph.near_duplicates(d).collect()}
+    rows = embedding_graph.near_duplicates(d).collect()
+    got = {q["vec_id"]: q["n_links"] for q in rows}
     assert [got[i] for i in range(len(u))] == hit.sum(1).tolist()
+    audited = [q for q in rows if q["audit_links"] is not None]
+    assert len(audited) == embedding_graph.PROBES and all(q["audit_links"] == hit[q["vec_id"]].sum() == q["audit_found"] for q in audited)
+
+
+def test_borders_by_links_of_the_data_lose_hardly_any(spark, monkeypatch):
+    from lexmill.llm import embedding_graph
+
+    monkeypatch.setattr(embedding_graph, "SHARD", 40)
+    monkeypatch.setattr(embedding_graph, "ENOUGH", 20)
+    r = np.random.default_rng(11)
+    base_ = embedding_graph.unit(r.normal(size=(1200, 64)))
+    u = embedding_graph.unit(np.concatenate([base_] + [base_[:300] + r.normal(scale=0.045, size=(300, 64)) for _ in range(2)]))
+    d = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(u)], "vec_id long, embedding array<double>, label int")
+    hit = u @ u.T >= 0.93
+    np.fill_diagonal(hit, False)
+    shares = []
+    whole = embedding_graph._probes
+    monkeypatch.setattr(embedding_graph, "_probes", lambda *a: shares.append(whole(*a)) or shares[-1])
+    rows = embedding_graph.near_duplicates(d).collect()
+    got = np.array([q["n_links"] for q in sorted(rows, key=lambda q: q["vec_id"])])
+    assert shares[0][1] < 0.6 and (got <= hit.sum(1)).all() and got.sum() >= 0.99 * hit.sum() and got.sum() % 2 == 0
 
 
 def test_archives_of_other_names_and_in_subfolders(spark, tmp_path):
