@@ -2,7 +2,8 @@
 
 A page is parsed into block elements; text that stands beside block children is a node of its own. Each node has features of its
 tag, attribute tokens, place, siblings, ancestors and subtree (text, links, markup density). Trees trained on
-pages that this module writes itself, where it knows what is article, give log-odds of "article" for each node. Dynamic programming over the
+pages that this module writes itself, where it knows what is article, give log-odds of "article" for each node; they are kept in html_trees.json, which
+``python -m lexmill.llm.html_text`` makes. Dynamic programming over the
 tree then finds the best choice in which whatever is outside has nothing inside: a node is inside, outside, or a
 container that decides nothing, and below an outside node all is outside.
 """
@@ -10,11 +11,13 @@ container that decides nothing, and below an outside node all is outside.
 from __future__ import annotations
 
 import html as entities
+import json
 import math
 import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ from lexmill.llm.base import slices, text_or_empty
 
 # HTML's elements by what a parser does with them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea select svg iframe object math canvas video audio title".split())
+RAW = frozenset("script style noscript template textarea select iframe canvas video audio title".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - frozenset(("body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot"))
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
@@ -48,6 +51,9 @@ _AT = {k: i for i, k in enumerate(TAGS)}
 _END = re.compile(r"[.!?;,](?:\s|$)")
 
 
+TREES = Path(__file__).with_name("html_trees.json")
+
+
 class Page:
     """Nodes of a page in page order; parents come before their children."""
 
@@ -230,7 +236,7 @@ def features(page: Page) -> np.ndarray:
 
 
 class Trees:
-    """Boosted regression trees for log-odds; grown level by level on binned features."""
+    """Boosted regression trees for log-odds; grown level by level on binned features. Of splits that gain alike the first feature's lowest cut is taken."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.25, bins: int = 48, ridge: float = 2.0):
         self.depth, self.rate = depth, rate
@@ -270,6 +276,17 @@ class Trees:
             self.leaf[t] = rate * gs / (hs + ridge)
             z += self.leaf[t][node]
 
+    def to_json(self) -> str:
+        return json.dumps({"depth": self.depth, "base": round(self.base, 9), "feature": self.feature.tolist(), "cut": [[None if np.isinf(c) else float(c) for c in r] for r in self.cut], "leaf": np.round(self.leaf, 9).tolist()})
+
+    @classmethod
+    def from_json(cls, text: str) -> Trees:
+        t, kept = cls.__new__(cls), json.loads(text)
+        t.depth, t.base = kept["depth"], kept["base"]
+        t.feature, t.leaf = np.array(kept["feature"], np.int64), np.array(kept["leaf"])
+        t.cut = np.array([[np.inf if c is None else c for c in r] for r in kept["cut"]], np.float32)
+        return t
+
     def __call__(self, x: np.ndarray) -> np.ndarray:
         z = np.full(len(x), self.base)
         rows = np.arange(len(x))
@@ -406,8 +423,13 @@ def training_page(r: random.Random) -> str:
     return f'<!DOCTYPE html><html lang="en"><head><title>{few()}</title></head><body>{page}</body></html>'
 
 
-@lru_cache(2)
-def model(pages: int = 1200, seed: int = 7) -> Trees:
+@lru_cache(1)
+def model() -> Trees:
+    """The trees that ``fitted`` gives, as they are kept."""
+    return Trees.from_json(TREES.read_text())
+
+
+def fitted(pages: int = 1200, seed: int = 7) -> Trees:
     """Trees of ``pages`` written pages."""
     r = random.Random(seed)
     xs, ys, ws = [], [], []
@@ -444,7 +466,7 @@ def texts(sources: list[str], trees: Trees) -> list[str]:
 def main_text(df: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",), trees: Trees | None = None) -> DataFrame:
     """(id, the columns ``keep``, text, n_chars) of every page; n_chars are the code points of text.
 
-    A null or empty page, and one without an article, has an empty text. Pages are read whole, whatever their length or nesting. Repeated
+    A null or empty page, and one without an article, has an empty text. Of choices of equal value a node is rather a container than inside, and rather inside than outside. Pages are read whole, whatever their length or nesting. Repeated
     rows come out as often as they went in; other columns are ignored; an empty table gives no rows.
     """
     trees = trees or model()
@@ -461,3 +483,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", html_col: str = "html", ke
 
     out = source.mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names) + ", text string, n_chars bigint")
     return out.withColumnsRenamed({"__id": id_col, **{f"__{i}": c for i, c in enumerate(keep)}})
+
+
+if __name__ == "__main__":
+    TREES.write_text(fitted().to_json())
