@@ -96,6 +96,25 @@ SENTENCES = {
     "this is free and unencumbered software released into the public domain": "unlicense-domain",
     "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work": "cc0-waiver",
     "all rights reserved": "reserved",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license version # as published by the free software foundation": "lgpl-only",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version # of the license or at your option any later version": "agpl-later",
+    "gnu general public license version # # june #": "gpl-title",
+    "gnu lesser general public license version # # june #": "lgpl-title",
+    "gnu lesser general public license version # # february #": "lgpl-title",
+    "gnu affero general public license version # # november #": "agpl-title",
+    "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed": "gnu-verbatim",
+    "apache license version # january #": "apache-title",
+    "terms and conditions for use reproduction and distribution": "apache-terms",
+    "mozilla public license version #": "mpl-title",
+    "boost software license version # august # th #": "boost-title",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "boost-grant",
+    "this software is provided as is without any express or implied warranty": "zlib-warranty",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means": "unlicense-anyone",
+    "creative commons attribution # international public license": "cc-by-title",
+    "creative commons attribution sharealike # international public license": "cc-by-sa-title",
+    "creative commons attribution noncommercial # international public license": "cc-by-nc-title",
+    "by exercising the licensed rights defined below you accept and agree to be bound by the terms and conditions of this creative commons attribution # international public license public license": "cc-by-accept",
 }
 
 # Rules in order; identifiers that follow each other, with at most GAP other sentences between two of them.
@@ -117,6 +136,27 @@ RULES = (
     (("lgpl-later",), "LGPL-{}-or-later"),
     (("mpl-subject", "mpl-copy"), "MPL-{}"),
     (("mpl-subject",), "MPL-{}"),
+    (("lgpl-only",), "LGPL-{}-only"),
+    (("agpl-later",), "AGPL-{}-or-later"),
+    (("gpl-title", "gnu-verbatim"), "GPL-{}"),
+    (("lgpl-title", "gnu-verbatim"), "LGPL-{}"),
+    (("agpl-title", "gnu-verbatim"), "AGPL-{}"),
+    (("apache-title", "apache-terms"), "Apache-{}"),
+    (("gpl-title",), "GPL-{}"),
+    (("lgpl-title",), "LGPL-{}"),
+    (("agpl-title",), "AGPL-{}"),
+    (("apache-title",), "Apache-{}"),
+    (("mpl-title",), "MPL-{}"),
+    (("cc-by-title", "cc-by-accept"), "CC-BY-{}"),
+    (("cc-by-title",), "CC-BY-{}"),
+    (("cc-by-sa-title",), "CC-BY-SA-{}"),
+    (("cc-by-nc-title",), "CC-BY-NC-{}"),
+    (("boost-title", "boost-grant"), "BSL-{}"),
+    (("boost-title",), "BSL-{}"),
+    (("boost-grant",), "BSL-1.0"),
+    (("zlib-warranty", "zlib-grant"), "Zlib"),
+    (("zlib-grant",), "Zlib"),
+    (("unlicense-domain", "unlicense-anyone"), "Unlicense"),
     (("unlicense-domain",), "Unlicense"),
     (("cc0-waiver",), "CC0-1.0"),
     (("spdx",), None),
@@ -151,7 +191,7 @@ def tree() -> dict:
 
 
 #: Words of which every known sentence has one; texts without them need no look-up.
-ANCHORS = re.compile("licen[sc]|permission|warranty|copyright|redistribut|under|covered|liab|mpl|reserved|public domain|spdx", re.IGNORECASE)
+ANCHORS = re.compile("licen[sc]|permission|warranty|copyright|distribut|under|covered|liab|mpl|reserved|unencumbered|spdx", re.IGNORECASE)
 _SPDX = re.compile(r"spdx-license-identifier:\s*([A-Za-z0-9.+-]+)", re.IGNORECASE)
 
 
@@ -187,7 +227,8 @@ def identified(text: str) -> list[tuple[int, int, int, str, str | None, str, int
 
 def _longest(text: str, spans: list[tuple[int, int]], k: int, node: dict) -> tuple[tuple[str, str | None], int, str] | None:
     """(what it is, number of its last piece, last number) of the longest known sentence that begins with piece k and ends with a piece."""
-    found, version, line, stop = None, "", k, spans[k][1]
+    found, version, line, stop, before = None, "", k, spans[k][1], ""
+    stated = False
     if not _WORD.search(text, spans[k][0], stop):
         return None
     for m in _WORD.finditer(text, spans[k][0]):
@@ -200,14 +241,18 @@ def _longest(text: str, spans: list[tuple[int, int]], k: int, node: dict) -> tup
             line += 1
             stop = spans[line][1]
         w = m[0].lower()
+        number = version
         if w[0].isdigit():
-            w, number = "#", w
-        else:
-            number = version
+            # the number after "version", else the last one; a date that follows a version is no version
+            if before != "version" and stated:
+                w = "#"
+            else:
+                w, number, stated = "#", w, before == "version"
         if w in ("http", "https") and "" in node:
             # an address ends what leads to it
             found = node[""], line, version
-        node = node.get(_SPELLING.get(w, w))
+        before = _SPELLING.get(w, w)
+        node = node.get(before)
         if node is None:
             return found
         version = number
