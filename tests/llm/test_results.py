@@ -330,6 +330,32 @@ def test_main_text_of_pages_that_were_not_trained_on():
     assert right >= 90
 
 
+def test_trees_that_are_kept_are_those_that_are_fitted():
+    a, b = html_text.model(), html_text.fitted()
+    x = np.concatenate([html_text.features(html_text.Page(html_text.training_page(random.Random(k)))) for k in range(20)])
+    assert np.allclose(a(x), b(x), atol=1e-6)
+
+
+#: Pages by another hand than the one that writes those for training: other tags, names and order of parts.
+PAGES = {
+    "blog": ("""<html><head><title>T</title><style>p{}</style></head><body><div id="masthead"><a href="/">Home</a> <a href="/a">About</a></div><div class="hentry post-12"><h2 class="entry-title">A walk along the river</h2>
+      <div class="entry-content"><p>The path begins behind the old mill, where the water is slow and the reeds are tall enough to hide a heron.</p><p>After two miles it turns away from the bank, and for a while there is only the noise of the road.</p></div></div>
+      <div id="sidebar"><h3>Archive</h3><ul><li><a href="/1">May</a></li><li><a href="/2">June</a></li></ul></div><div id="footer">Copyright 2019. All rights reserved.</div></body></html>""",
+      "A walk along the river\nThe path begins behind the old mill, where the water is slow and the reeds are tall enough to hide a heron.\nAfter two miles it turns away from the bank, and for a while there is only the noise of the road."),
+    "news": ("""<body><nav><ul><li><a href=1>World</a><li><a href=2>Sport</a><li><a href=3>Culture</a></ul></nav><main><article><h1>Council votes for the bridge</h1><p>The council voted on Monday night to rebuild the bridge, nine years after it was closed to traffic.
+      <p>Work is to begin in spring, and to last for eighteen months, said the mayor.<blockquote>We have waited long enough, and so have the people on the other side.</blockquote><aside class="related"><a href=5>More on this</a></aside><p>The cost is put at four million, of which the state pays half.</article></main><footer><p>Contact us | Imprint</p></footer></body>""",
+      "Council votes for the bridge\nThe council voted on Monday night to rebuild the bridge, nine years after it was closed to traffic.\nWork is to begin in spring, and to last for eighteen months, said the mayor.\nWe have waited long enough, and so have the people on the other side.\nThe cost is put at four million, of which the state pays half."),
+    "formula": ("""<article><h1>Sums</h1><p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is in all cases larger than either part, as long as both are positive numbers.</p><p>The same is true of three numbers, and of any number of them.</p></article>""",
+      "Sums\nThe sum a+b is in all cases larger than either part, as long as both are positive numbers.\nThe same is true of three numbers, and of any number of them."),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_main_text_of_pages_by_another_hand(name):
+    source, want = PAGES[name]
+    assert html_text.texts([source], html_text.model()) == [want]
+
+
 def test_choices_never_contradict():
     r = random.Random(5)
     g = np.random.default_rng(5)
@@ -512,6 +538,27 @@ def test_real_notices(t, want, n):
         assert [r["license_id"] for r in got] == want and len(got[0]["sentences"]) == n
 
 
+@pytest.mark.parametrize("width", [20, 30, 72, 400])
+def test_known_sentences_wrapped_at_any_width(width):
+    import textwrap
+
+    for sentence, what in licenses.SENTENCES.items():
+        t = "Foreword.\n\n" + textwrap.fill(sentence.replace("#", "2.0").capitalize() + ".", width, break_on_hyphens=False) + "\n\nEnd."
+        assert [x[3] for x in licenses.identified(t)] == [what], sentence
+
+
+@pytest.mark.parametrize(("t", "want"), [
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n", ["GPL-3.0"]),
+    ("                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n", ["LGPL-3.0"]),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n", ["Apache-2.0"]),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n", ["MPL-2.0"]),
+    ("Creative Commons Attribution 4.0 International Public License\n\nBy exercising the Licensed Rights (defined below), You accept and agree to be\nbound by the terms and conditions of this Creative Commons Attribution 4.0\nInternational Public License (\"Public License\").", ["CC-BY-4.0"]),
+    ("Boost Software License - Version 1.0 - August 17th, 2003\n", ["BSL-1.0"]),
+])
+def test_whole_licence_texts(t, want):
+    assert [r["license_id"] for r in licenses.recognised(t)] == want
+
+
 @pytest.mark.parametrize(("size", "effective"), [(64, 16), (768, 30), (16, 2)])
 def test_links_over_borders_of_shards(size, effective):
     from lexmill.llm import embedding_graph
