@@ -169,6 +169,8 @@ def test_ngram_classes_are_exact(spark, size, num, monkeypatch):
         monkeypatch.setattr(ngram_join, "BLOCK", block)
         monkeypatch.setattr(ngram_join, "FEW", few)
         monkeypatch.setattr(ngram_join, "SETS", many)
+        monkeypatch.setattr(ngram_join, "PAIRED", 8 * many)
+        monkeypatch.setattr(ngram_join, "SPREAD", 1)
         monkeypatch.setattr(ngram_join, "UNITED", rows)
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_classes(d, size, num, 100).collect()}
         assert [got[i] for i in range(len(texts))] == [(len(s), w) for s, w in zip(sets, want, strict=True)]
@@ -185,7 +187,21 @@ def test_keys_of_linked_sets_meet():
                 common = ngram_join.overlap(a, b)
                 if len(a) and len(b) and 100 * common >= num * (len(a) + len(b) - common):
                     for often in (np.zeros(0, np.uint64), np.sort(r.choice(a, len(a) // 2, replace=False))):
-                        assert set(ngram_join.keys_of(a, num, 100, often).tolist()) & set(ngram_join.keys_of(b, num, 100, often).tolist())
+                        for miss in (0.0, 1e-12):
+                            assert set(ngram_join.keys_of(a, num, 100, often, miss).tolist()) & set(ngram_join.keys_of(b, num, 100, often, miss).tolist())
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_groups_for_a_chance_keep_to_it(num):
+    # a chance that can be counted
+    r = np.random.default_rng(12)
+    low, most, groups = ngram_join.tiers(num, 100, 0.01)
+    n, d, k = int(low[0]), int(most[0]), int(groups[0])
+    lost = 0
+    for _ in range(4000):
+        common, other = r.integers(0, k, n * num // 100), r.integers(0, k, d)
+        lost += not len(np.setdiff1d(common, other))
+    assert k <= d and lost <= 0.015 * 4000
 
 
 @settings(max_examples=200, deadline=None)
