@@ -17,6 +17,8 @@ from lexmill.llm.ngram_join import ngram_classes
 from lexmill.llm.toxicity import fit, toxicity, training_rows
 from lexmill.session import stored
 
+#: Chance that two texts of 400 shingles or more that just link are not compared; keys that leave nothing to chance would need more than the disk that a stage has.
+MISS = 1e-12
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
@@ -37,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     batches(spark)
     docs = spread(docs)
-    groups = ngram_classes(docs, size=5, num=80, den=100)
+    groups = ngram_classes(docs, size=5, num=80, den=100, miss=MISS)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
     row = F.struct(*(docs[c] for c in docs.columns))
     known = docs.join(stay.hint("merge"), "doc_id", "left_semi").select("doc_id", "text", row.alias("row"))
