@@ -45,7 +45,7 @@ def gaps(versions: DataFrame, keys: list[str], start: str = "valid_from", end: s
     return versions.withColumn("before", F.lag(end).over(w)).withColumn("__n", F.row_number().over(w)).where("__n > 1").where(F.col("before").isNull() | (F.col("before") != F.date_sub(F.col(start), 1))).drop("__n")
 
 
-def events_per_case(df: DataFrame, case: str, at: str, kind: str, kinds: tuple[str, ...] = ()) -> DataFrame:
-    """A case's events in order, as one lane."""
+def events_per_case(df: DataFrame, case: str, at: str, kind: str, kinds: tuple[str, ...] = (), lane_of: str | None = None) -> DataFrame:
+    """A case's events in order, as one lane, or as a lane for each value of ``lane_of`` (such as its defendants); events of nobody have a lane of their own."""
     rows = df.where(F.col(kind).isin(*kinds)) if kinds else df
-    return rows.groupBy(case).agg(F.transform(F.array_sort(F.collect_list(F.struct(at, kind))), lambda e: e[kind]).alias("lane"))
+    return rows.groupBy(case, *([lane_of] if lane_of else [])).agg(F.transform(F.array_sort(F.collect_list(F.struct(at, kind))), lambda e: e[kind]).alias("lane"))

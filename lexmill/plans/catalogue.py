@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import chunks, extract, ontology, text, vectors
-from lexmill.operators import graph, knn, parse, relational, rules, temporal
+from lexmill.operators import casegraph, graph, knn, parse, relational, rules, temporal
 from lexmill.operators.reduce import hdbscan_labels, pca, whole_matrix
-from lexmill.session import spread, table
+from lexmill.plans import report
+from lexmill.session import free_at_end, new_path, spread, table
+from lexmill.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -752,3 +754,144 @@ def supersession(spark, sf_dir):
 def longest_per_source(spark, sf_dir):
     w = Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id")
     return table(spark, sf_dir, "documents").select("doc_id", "source", F.row_number().over(w).alias("place")).where("place <= 3")
+
+
+#: Tables of a case graph made of orders and their lines.
+_KG = {
+    "case_files": "SELECT o_orderkey AS case_id, o_custkey AS case_code, CASE WHEN o_orderkey % 2 = 0 THEN 'Sơ thẩm' ELSE 'Phúc thẩm' END AS trial_level, CAST(o_orderdate AS DATE) AS judgment_date, o_custkey % 25 AS court_id, o_orderpriority AS legal_relation, o_orderstatus AS procedure_type FROM orders",
+    "situation_cases": "SELECT o_custkey AS situation_id, o_orderkey AS case_id FROM orders WHERE o_orderkey % 3 = 0",
+    "lawsuits": "SELECT l_orderkey AS case_id, l_orderkey * 100 + l_linenumber AS lawsuit_id FROM lineitem WHERE l_linenumber = 2",
+    "indictments": "SELECT l_orderkey AS case_id, l_orderkey * 100 + l_linenumber AS indictment_id, CAST(l_shipdate AS DATE) AS issue_date, l_suppkey AS issuing_authority FROM lineitem WHERE l_linenumber <= 2",
+    "investigation_conclusions": "SELECT l_orderkey AS case_id, l_orderkey * 100 + l_linenumber AS conclusion_id, CAST(l_shipdate AS DATE) AS issue_date, l_suppkey AS issuing_authority FROM lineitem WHERE l_linenumber IN (3, 4)",
+    "verdicts": "SELECT l_orderkey AS case_id, l_orderkey * 100 + l_linenumber AS verdict_id, CAST(l_shipdate AS DATE) AS pronounced_date, l_suppkey % 25 AS court_id FROM lineitem WHERE l_linenumber IN (1, 3)",
+    "rulings": "SELECT l_orderkey AS case_id, l_orderkey * 100 + l_linenumber AS ruling_id FROM lineitem WHERE l_returnflag = 'R'",
+    "precedents": "SELECT p_partkey AS precedent_id, p_partkey * 3 AS source_case_id, CASE WHEN p_size > 5 THEN p_size END AS applied_article_id FROM part",
+    "retrieved": "SELECT l_orderkey AS case_id, l_partkey AS precedent_id, l_discount * 10 AS score FROM lineitem",
+    "defendants": "SELECT l_orderkey AS case_id, l_orderkey * 100 + l_linenumber AS defendant_id, l_suppkey AS person_id FROM lineitem WHERE l_quantity > 25",
+    "charges": "SELECT l_orderkey AS case_id, l_orderkey * 100 + l_linenumber AS charge_id FROM lineitem WHERE l_linestatus = 'F'",
+    "charge_articles": "SELECT l_orderkey * 100 + l_linenumber AS charge_id, l_partkey AS article_id FROM lineitem",
+    "sentences": "SELECT l_orderkey * 100 + l_linenumber AS sentence_id, l_orderkey * 100 + l_linenumber AS charge_id, CASE WHEN l_linenumber IN (1, 3) THEN l_orderkey * 100 + l_linenumber END AS verdict_id FROM lineitem WHERE l_linestatus = 'F'",
+    "evidence_items": "SELECT l_orderkey AS case_id, l_partkey AS evidence_id FROM lineitem WHERE l_tax > 0.05",
+    "case_events": "SELECT l_orderkey AS case_id, l_orderkey * 100 + l_linenumber AS event_id FROM lineitem",
+    "case_factors": "SELECT l_orderkey AS case_id, 'AGG-' || CAST(l_linenumber AS VARCHAR(9)) AS factor_code FROM lineitem WHERE l_quantity > 40",
+    "statute_articles": "SELECT p_partkey AS article_id, p_size AS code_id, CASE WHEN p_partkey % 4 = 0 THEN p_partkey - 1 END AS replaces_id FROM part",
+}
+#: What ``casegraph.derived`` makes, in SQL.
+_KG_DERIVED = {
+    "appeals": "SELECT a.case_id, f.case_id AS first_case_id FROM case_files a JOIN (SELECT * FROM case_files WHERE trial_level = 'Sơ thẩm' QUALIFY row_number() OVER (PARTITION BY case_code ORDER BY judgment_date DESC, case_id DESC) = 1) f USING (case_code) WHERE a.trial_level = 'Phúc thẩm'",
+    "preceding": "SELECT indictment_id, conclusion_id FROM indictments i JOIN investigation_conclusions c USING (case_id) WHERE c.issue_date <= i.issue_date QUALIFY row_number() OVER (PARTITION BY indictment_id ORDER BY c.issue_date DESC, conclusion_id DESC) = 1",
+    "precedent_verdicts": "SELECT verdict_id, precedent_id FROM precedents JOIN verdicts ON case_id = source_case_id QUALIFY row_number() OVER (PARTITION BY precedent_id ORDER BY pronounced_date DESC, verdict_id DESC) = 1",
+    "grounds": "SELECT * FROM retrieved WHERE score >= 0.82",
+    "indictment_charges": "SELECT indictment_id, charge_id FROM indictments JOIN charges USING (case_id)",
+    "verdict_charges": "SELECT verdict_id, charge_id FROM verdicts JOIN charges USING (case_id)",
+}
+_KINDS = ", ".join(f"('{leaf}', '{path[-1]}')" for path, leaves in ontology.TAXONOMY.items() for leaf in leaves)
+_KG_EDGES = (
+    "WITH " + ", ".join(f"{k} AS ({v})" for k, v in (_KG | _KG_DERIVED).items())
+    + ", plain AS (" + " UNION ALL ".join(f"SELECT '{s}:' || {a} AS src, '{d}:' || {b} AS dst, '{n}' AS type, {'score' if t == 'grounds' else '1.0'}::DOUBLE AS weight FROM {t} WHERE {a} IS NOT NULL AND {b} IS NOT NULL" for s, n, d, t, a, b in casegraph.RELATIONS)
+    + f"), e AS (SELECT * FROM plain UNION ALL SELECT 'taxonomy_concept:' || parent, node, 'groups', 1.0 FROM (SELECT src AS node FROM plain UNION SELECT dst FROM plain) JOIN (VALUES {_KINDS}) v(kind, parent) ON kind = split_part(node, ':', 1)) "
+)
+
+
+def _case_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    for t in ("orders", "lineitem", "part"):
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
+    return casegraph.case_edges({k: spark.sql(v) for k, v in _KG.items()})
+
+
+@query(f"SELECT * FROM ({_KG_EDGES} SELECT type, split_part(src, ':', 1) AS source_kind, split_part(dst, ':', 1) AS target_kind, count(*) AS n, count(DISTINCT src) AS n_src, count(DISTINCT dst) AS n_dst, min(weight) AS least, max(weight) AS most FROM e GROUP BY 1, 2, 3)")
+def case_graph(spark, sf_dir):
+    """All relations of cases, counted by kind."""
+    e = _case_edges(spark, sf_dir)
+    kinds = [F.substring_index(c, ":", 1).alias(k) for c, k in (("src", "source_kind"), ("dst", "target_kind"))]
+    return e.groupBy("type", *kinds).agg(F.count("*").alias("n"), F.count_distinct("src").alias("n_src"), F.count_distinct("dst").alias("n_dst"), F.min("weight").alias("least"), F.max("weight").alias("most"))
+
+
+@query(f"SELECT * FROM ({_KG_EDGES} SELECT DISTINCT dst AS article FROM e WHERE type = 'cites_article' AND src = 'charge:101')")
+def charge_articles(spark, sf_dir):
+    return casegraph.charge_articles(_case_edges(spark, sf_dir), "charge:101")
+
+
+@query(f"SELECT * FROM ({_KG_EDGES} SELECT DISTINCT h.src AS case_file FROM e c JOIN e x ON x.dst = c.src AND x.type = 'has_charge' JOIN e h ON h.dst = x.src AND h.type IN ('decided_by', 'indicted_by') WHERE c.type = 'cites_article' AND c.dst = 'statute_article:7' ORDER BY 1 LIMIT 50)")
+def article_cases(spark, sf_dir):
+    return casegraph.article_cases(_case_edges(spark, sf_dir), "statute_article:7")
+
+
+@query(f"SELECT * FROM ({_KG_EDGES} SELECT src AS case_file, max(weight) AS weight FROM e WHERE type = 'grounded_on' AND dst = 'precedent:7' GROUP BY 1)")
+def precedent_cases(spark, sf_dir):
+    return casegraph.precedent_cases(_case_edges(spark, sf_dir), "precedent:7")
+
+
+# ------------------------------------------------------------------ lanes and the dashboard
+
+
+@query("SELECT user_id, event_id % 3 AS defendant, string_agg(event_type, '>' ORDER BY ts, event_type) AS lane FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1, 2")
+def defendant_lanes(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("defendant", F.col("event_id") % 3)
+    return temporal.events_per_case(e, "user_id", "ts", "event_type", ("click", "purchase"), "defendant").select("user_id", "defendant", F.array_join("lane", ">").alias("lane"))
+
+
+@query("""
+SELECT 'year' AS panel, year(o_orderdate)::VARCHAR AS key, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'charge', o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) IN (1995, 1996) GROUP BY 2 ORDER BY n DESC, 2 LIMIT 3)
+UNION ALL SELECT 'province', o_orderstatus, count(*) FROM orders WHERE year(o_orderdate) IN (1995, 1996) GROUP BY 2
+""".replace("WHERE o_orderstatus = 'F' GROUP", "WHERE o_orderstatus IN ('F') GROUP"))
+def dashboard(spark, sf_dir):
+    """Panels that filter each other, one with its three most frequent keys."""
+    o = table(spark, sf_dir, "orders")
+    panels = {"year": F.year("o_orderdate"), "charge": F.col("o_orderpriority"), "province": F.col("o_orderstatus")}
+    return report.dashboard(o, panels, {"year": [1995, 1996], "province": ["F"]}, {"charge": 3})
+
+
+# ------------------------------------------------------------------ what is written and read again
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    path = new_path(spark, name)
+    free_at_end(spark, path)
+    return path
+
+
+@query("SELECT doc_id, lang, length(text)::INTEGER AS n FROM documents")
+def json_lines_again(spark, sf_dir):
+    """Documents through JSON lines; only the fields asked for are parsed."""
+    path = _folder(spark, "lines")
+    sinks.write_json(table(spark, sf_dir, "documents"), path, drop=["source"])
+    return readers.json_lines(spark, path, "doc_id bigint, lang string, source string, n_chars bigint, text string", ["doc_id", "lang", "text"]).select("doc_id", "lang", F.length("text").alias("n"))
+
+
+@query(r"SELECT doc_id::VARCHAR AS doc_name, length(text)::INTEGER AS n, lang, source FROM documents WHERE regexp_matches(text, '\S')")
+def markdown_again(spark, sf_dir):
+    """Documents through the Markdown sink; everything but name and text is in meta."""
+    path = _folder(spark, "markdown")
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_name"), F.col("text").alias("markdown"), "lang", "source")
+    sinks.write_markdown(d, path)
+    meta = F.from_json("meta", "lang string, source string")
+    return readers.parquet(spark, path, ["doc_name", "markdown", "meta"]).select("doc_name", F.length("markdown").alias("n"), meta["lang"].alias("lang"), meta["source"].alias("source"))
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
+def partitions_again(spark, sf_dir):
+    """Events through Parquet in folders by type, which are columns again."""
+    path = _folder(spark, "partitions")
+    sinks.write_parquet(table(spark, sf_dir, "events").select("event_type", "event_id", "value"), path, partition_by=("event_type",))
+    return readers.partitioned(spark, path).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("SELECT strftime(o_orderdate, '%Y') AS yyyy, strftime(o_orderdate, '%m') AS mm, count(*) AS n, max(o_orderkey) AS last FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-04-01' GROUP BY 1, 2")
+def mirror_again(spark, sf_dir):
+    """A quarter of orders through the daily mirror."""
+    path = _folder(spark, "mirror")
+    o = table(spark, sf_dir, "orders").where("o_orderdate >= timestamp '1996-01-01' AND o_orderdate < timestamp '1996-04-01'")
+    sinks.write_mirror(o.select("o_orderkey", "o_orderdate"), path, "o_orderdate")
+    back = spark.read.schema("o_orderkey bigint, yyyy string, mm string, dd string").option("basePath", path).json(path)
+    return back.groupBy("yyyy", "mm").agg(F.count("*").alias("n"), F.max("o_orderkey").alias("last"))
+
+
+@query("SELECT doc_id::VARCHAR AS doc_name, sha256(text)[1:16] AS head, n_chars % 40 AS num_pages, 'local' AS parser_model FROM documents")
+def parsed_again(spark, sf_dir):
+    """The consolidated table of parsed documents: cast to its schema, missing columns null."""
+    path = _folder(spark, "parsed")
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_name"), F.col("text").alias("markdown"), (F.col("n_chars") % 40).alias("num_pages"), F.lit("local").alias("parser_model"))
+    sinks.write_parquet(sinks.parsed_table(d), path)
+    return readers.parquet(spark, path).where("adopted_date is null").select("doc_name", F.substring(F.sha2("text", 256), 1, 16).alias("head"), "num_pages", "parser_model")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import html
 import json
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import ontology
@@ -52,6 +53,28 @@ RENDERERS: dict[str, Callable[[DataFrame, int], DataFrame | None]] = {
 }
 
 
+def dashboard(df: DataFrame, panels: dict[str, Column], chosen: dict[str, list] | None = None, most: dict[str, int] | None = None) -> DataFrame:
+    """(panel, key, n): rows by each panel's key, in one pass; nulls are left out.
+
+    What is chosen in a panel (a list of its keys) filters all others, not itself. ``most`` names panels that show only their most frequent keys, ties by key.
+    """
+    keys = {p: c.cast("string") for p, c in panels.items()}
+    fits = {p: F.coalesce(keys[p].isin(*(str(v) for v in some)), F.lit(False)) for p, some in (chosen or {}).items()}
+
+    def shown(p: str) -> Column:
+        others = [ok for q, ok in fits.items() if q != p]
+        key = F.when(functools.reduce(lambda a, b: a & b, others), keys[p]) if others else keys[p]
+        return F.struct(F.lit(p).alias("panel"), key.alias("key"))
+
+    cells = df.select(F.explode(F.array(*(shown(p) for p in keys))).alias("c")).select("c.*").where("key is not null")
+    n = cells.groupBy("panel", "key").agg(F.count("*").alias("n"))
+    if not most:
+        return n
+    bound = F.coalesce(F.create_map(*(F.lit(x) for kv in most.items() for x in kv))[F.col("panel")], F.lit(2**31 - 1))
+    w = Window.partitionBy("panel").orderBy(F.desc("n"), "key")
+    return n.withColumn("place", F.row_number().over(w)).where(F.col("place") <= bound).drop("place")
+
+
 def dataset(spark: SparkSession, texts: DataFrame, coordinates: DataFrame) -> DataFrame:
     """Texts and coordinates side by side, with the ontology's columns filled."""
     return ontology.with_ontology(relational.outer_join(texts, coordinates, "doc_name"))

@@ -39,6 +39,22 @@ def write_parquet(df: DataFrame, path: str, fields: list[str] | None = None, sch
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
+def write_mirror(df: DataFrame, path: str, day: str) -> None:
+    """JSON lines in folders yyyy=/mm=/dd= of a date column; a run replaces the days that it has rows of and leaves the others. Rows without a day go to the folder of nulls."""
+    d = jsonable(df)
+    d = d.withColumns({"yyyy": F.date_format(day, "yyyy"), "mm": F.date_format(day, "MM"), "dd": F.date_format(day, "dd")})
+    d = d.repartition("yyyy", "mm", "dd") if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true" else d  # few files a day; AQE splits large days
+    d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("yyyy", "mm", "dd").json(path)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", connections: int = 8, batch: int = 10_000, **options: str) -> None:
+    """Rows to a table of a database, over so many connections at most; the driver comes with the session's jars.
+
+    A task that is run again repeats its rows in a table without a key: load a table of its own and merge it there, as ``mode="overwrite"`` does with a staging table's name.
+    """
+    df.coalesce(connections).write.format("jdbc").options(url=url, dbtable=table, batchsize=str(batch), **options).mode(mode).save()
+
+
 def write_markdown(df: DataFrame, path: str, key: str = "doc_name", text: str = "markdown") -> None:
     """The columnar form of Markdown files: (key, markdown, meta) with everything else in meta; rows without a name or text are left out."""
     rest = [c for c in jsonable(df).columns if c not in (key, text)]

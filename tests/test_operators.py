@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import embed, graph, knn, parse, reduce, relational, rules, temporal
+from lexmill.operators import casegraph, embed, graph, knn, parse, reduce, relational, rules, temporal
 from lexmill.operators.components import connected_components
 from lexmill.plans import pipeline
 from lexmill.plans.config import SiteConfig, load, typed
@@ -243,13 +243,28 @@ def test_as_of_keeps_repeated_facts(spark):
 
 
 def test_citation_lookups(spark):
-    rows = [("case:1", "charge:a", "has_charge"), ("case:1", "charge:b", "has_charge"), ("case:2", "charge:b", "has_charge"), ("charge:a", "article:7", "charged_under"), ("charge:b", "article:7", "charged_under"), ("charge:b", "article:9", "charged_under"), ("case:2", "precedent:5", "cites_precedent"), ("case:2", "precedent:5", "cites_precedent")]
+    rows = [("case_file:1", "indictment:1", "indicted_by"), ("case_file:2", "verdict:2", "decided_by"), ("case_file:3", "verdict:3", "decided_by"), ("indictment:1", "charge:a", "has_charge"), ("indictment:1", "charge:b", "has_charge"), ("verdict:2", "charge:b", "has_charge"), ("charge:a", "statute_article:7", "cites_article"), ("charge:b", "statute_article:7", "cites_article"), ("charge:b", "statute_article:9", "cites_article"), ("case_file:2", "precedent:5", "grounded_on"), ("case_file:2", "precedent:5", "grounded_on")]
     e = spark.createDataFrame([(*r, float(k), None, None) for k, r in enumerate(rows)], "src string, dst string, type string, weight double, valid_from date, valid_to date")
-    assert sorted(r["article"] for r in graph.charge_articles(e, "charge:b").collect()) == ["article:7", "article:9"]
-    assert sorted(r["case"] for r in graph.article_cases(e, "article:7").collect()) == ["case:1", "case:2"]
-    assert [(r["case"], r["weight"]) for r in graph.precedent_cases(e, "precedent:5").collect()] == [("case:2", 7.0)]
+    assert sorted(r["article"] for r in casegraph.charge_articles(e, "charge:b").collect()) == ["statute_article:7", "statute_article:9"]
+    assert sorted(r["case_file"] for r in casegraph.article_cases(e, "statute_article:7").collect()) == ["case_file:1", "case_file:2"]
+    assert [r["case_file"] for r in casegraph.article_cases(e, "statute_article:7", 1).collect()] == ["case_file:1"]
+    assert [(r["case_file"], r["weight"]) for r in casegraph.precedent_cases(e, "precedent:5").collect()] == [("case_file:2", 10.0)]
 
 
+def test_case_edges_of_few_tables(spark):
+    t = {"situation_cases": spark.createDataFrame([("s", "c"), (None, "c")], "situation_id string, case_id string"), "verdicts": spark.createDataFrame([("c", "v")], "case_id string, verdict_id string")}
+    got = {(r["src"], r["type"], r["dst"]) for r in casegraph.case_edges(t).collect()}
+    assert got == {("legal_situation:s", "may_spawn", "case_file:c"), ("case_file:c", "decided_by", "verdict:v"), *(("taxonomy_concept:legal_type", "groups", x) for x in ("legal_situation:s", "case_file:c", "verdict:v"))}
+
+
+def test_jdbc(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    df = spark.createDataFrame([(1, "x"), (2, None)], "id int, name string")
+    sinks.write_jdbc(df, url, "docs", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    sinks.write_jdbc(df, url, "docs", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    back = spark.read.format("jdbc").options(url=url, dbtable="docs", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver").load()
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "x"), (1, "x"), (2, None), (2, None)] or back.count() == 4
+
 def test_what_goes_on_beyond_a_bound_raises(spark):
     tree = spark.createDataFrame([("b", "a"), ("c", "b"), ("a", "c")], "node string, parent string")
     with pytest.raises(ValueError):
