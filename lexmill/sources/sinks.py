@@ -43,7 +43,7 @@ def write_mirror(df: DataFrame, path: str, day: str) -> None:
     """JSON lines in folders yyyy=/mm=/dd= of a date column; a run replaces the days that it has rows of and leaves the others. Rows without a day go to the folder of nulls."""
     d = jsonable(df)
     d = d.withColumns({"yyyy": F.date_format(day, "yyyy"), "mm": F.date_format(day, "MM"), "dd": F.date_format(day, "dd")})
-    d = d.repartition("yyyy", "mm", "dd") if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true" else d  # few files a day; AQE splits large days
+    d = d.hint("rebalance", "yyyy", "mm", "dd")  # few files a day; AQE splits days of many rows
     d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("yyyy", "mm", "dd").json(path)
 
 
