@@ -120,3 +120,19 @@ def test_conversations(spark):
     assert stale[2]["rejected_text"] == "<|im_start|>assistant\n<|im_end|>\n"
     empty = preference.conversations(d.where("false"))
     assert preference.format_pairs(preference.sibling_pairs(empty).unionByName(preference.stale_pairs(empty))).count() == 0
+
+
+def test_copies_do_not_make_keys_shared(spark):
+    # (key, node, times): 1 has copies of one node, 2 two nodes with copies, 3 a row that stands for many, 4 a single one
+    rows = spark.createDataFrame([(1, 5, 1)] * 4 + [(2, 6, 1)] * 40 + [(2, 7, 1)] * 40 + [(3, 1, 70), (3, 1, 1), (3, 9, 1), (4, 8, 1)], "key long, node long, times long")
+    got = {(r["key"], r["node"]): (r["head"], r["times"]) for r in ngram_join.meeting(rows).collect()}
+    assert got == {(2, 6): (6, 2), (2, 7): (6, 2), (3, 1): (1, 71), (3, 9): (1, 71)}
+
+
+def test_copies_in_many_files_are_one_class(spark, tmp_path):
+    base = [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(6)]
+    near = [(6, base[0][1] + " end")]
+    for k in range(5):
+        spark.createDataFrame([(i + 7 * k, t) for i, t in base + near], "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "d"))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_classes(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert got == {i + 7 * k: i % 6 for i in range(7) for k in range(5)}

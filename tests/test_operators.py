@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 import zipfile
 
 import numpy as np
@@ -10,6 +11,7 @@ from lexmill.operators import casegraph, embed, graph, knn, parse, reduce, relat
 from lexmill.operators.components import connected_components
 from lexmill.plans import pipeline
 from lexmill.plans.config import SiteConfig, load, typed
+from lexmill.session import stored
 from lexmill.sources import listing, readers, sinks
 from lexmill.streaming import files
 
@@ -282,3 +284,15 @@ def test_equal_vectors_at_the_last_place_are_cut_by_id(spark):
 def test_latest_is_one_row_of_a_key(spark):
     d = spark.createDataFrame([(1, None, "x"), (1, 2, "y"), (1, 1, "z"), (2, None, "w")], "k long, version long, v string")
     assert sorted((r["k"], r["v"]) for r in relational.latest(d, ["k"], "version").collect()) == [(1, "y"), (2, "w")]
+
+
+def test_stored_frees_shuffle_files(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffles = lambda: {f.toString() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles()) if "shuffle_" in f.toString()}
+    before = shuffles()
+    out = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    end = time.time() + 20
+    while (left := shuffles() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert out.count() == 7 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
