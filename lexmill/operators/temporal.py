@@ -11,17 +11,16 @@ from lexmill.session import small
 def as_of(facts: DataFrame, versions: DataFrame, keys: list[str], at: str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
     """Each fact with the version in force at its day, or nulls where there is none; both ends count, a null end is open.
 
-    Facts that are equal in all columns are counted and come out as often as they went in. One join on the keys, with the days as a residual
-    condition, and one aggregate over the facts' own columns: of several versions the one that began last is taken.
+    Facts that are equal in all columns come out as often as they went in. Each key and day is looked up once, in one join on the keys with the days as a residual
+    condition and one aggregate: of several versions the one that began last is taken. The facts then meet what was found for their key and day.
+    Neither join is broadcast: what Spark reckons a table to have from its files says little of the versions made of it, and all of them would pass through the driver.
     """
     extra = [c for c in versions.columns if c not in keys]
     v = versions.select(*(F.col(k).alias(f"__{k}") for k in keys), F.struct(*extra).alias("__v"))
     first, last = F.col(f"__v.{start}"), F.col(f"__v.{end}")
     cond = [F.col(k) == F.col(f"__{k}") for k in keys] + [first <= F.col(at), last.isNull() | (last >= F.col(at))]
-    counted = facts.groupBy(*facts.columns).agg(F.count("*").alias("__n"))
-    hit = counted.join(v, cond, "left").groupBy(*facts.columns, "__n").agg(F.max_by("__v", first).alias("__v"))
-    hit = hit.select("*", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__i"))
-    return hit.select(*facts.columns, *(F.col(f"__v.{c}").alias(c) for c in extra))
+    hit = facts.select(*keys, at).distinct().join(v.hint("merge"), cond).groupBy(*keys, at).agg(F.max_by("__v", first).alias("__v"))
+    return facts.join(hit.hint("merge"), [*keys, at], "left").select(*facts.columns, *(F.col(f"__v.{c}").alias(c) for c in extra))
 
 
 def in_interval(df: DataFrame, value: str, intervals: DataFrame, start: str, end: str) -> DataFrame:

@@ -296,3 +296,12 @@ def test_stored_frees_shuffle_files(spark):
         time.sleep(0.2)
     assert not left
     assert out.count() == 7 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_as_of_sends_no_table_to_the_driver(spark, tmp_path):
+    d = dt.date
+    spark.createDataFrame([(k, d(2000, 1, 1), None, k) for k in range(50)], "k int, valid_from date, valid_to date, n int").write.parquet(str(tmp_path / "v"))
+    spark.createDataFrame([(k, k % 50, d(2001, 1, 1)) for k in range(200)], "row_id int, k int, at date").write.parquet(str(tmp_path / "f"))
+    out = temporal.as_of(spark.read.parquet(str(tmp_path / "f")), spark.read.parquet(str(tmp_path / "v")), ["k"], "at")
+    assert sorted((r["row_id"], r["n"]) for r in out.collect()) == [(k, k % 50) for k in range(200)]
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
