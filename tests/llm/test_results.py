@@ -462,6 +462,37 @@ def test_ties_inside_a_batch():
     assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(5, 3), (9, 5)]
 
 
+def test_a_key_of_many_ties_only_what_may_link():
+    r = np.random.default_rng(4)
+    sets = [np.unique(r.integers(0, 2**64, int(r.integers(20, 60)), dtype=np.uint64)) for _ in range(150)]
+    sets += [s[: len(s) - 1] for s in sets[:40]]
+    points = np.array([ngram_join.counts(s) for s in sets])
+    m = len(sets)
+    node, head, key, times = np.arange(m), np.zeros(m, int), np.full(m, 7), np.full(m, m)
+    t = points.sum(1)
+    x, y = np.nonzero(180 * np.minimum(points[:, None], points[None]).sum(2) >= 80 * (t[:, None] + t[None]))
+    want = sorted(zip(*(v.tolist() for v in ngram_join.united(x, y)), strict=True))
+    for few in (4, 1_000):
+        a, b = ngram_join.key_ties(key, node, head, times, points, 80, 100, few)
+        assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == want and 40 <= len(want) < 60
+    # more than are looked at, or a row that stands for others
+    for more, most in ((0, 100), (1, 1_000)):
+        a, b = ngram_join.key_ties(key, node, head, times + more, points, 80, 100, 4, most)
+        assert a.tolist() == list(range(1, m)) and not b.any()
+
+
+def test_the_sample_of_common_shingles_grows_with_the_texts(spark, monkeypatch):
+    # each passage is in 64 of 6,400 texts, one in 100; of a sample of 50 texts no three would have one
+    rows = [(i, f"p{i % 100}a p{i % 100}b p{i % 100}c own{i}a own{i}b") for i in range(6400)]
+    d = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    monkeypatch.setattr(ngram_join, "SAMPLE", 50)
+    passages = {int(ngram_join.shingle_set(f"p{k}a p{k}b p{k}c", 3)[0]) for k in range(100)}
+    found = ngram_join.common_shingles(d, 3, 80, 100).tolist()
+    assert len(passages & set(found)) >= 85 and set(found) <= passages and found == sorted(found)
+    monkeypatch.setattr(ngram_join, "KNOWN", 30)
+    assert 0 < len(ngram_join.common_shingles(d, 3, 80, 100)) <= 30
+
+
 @pytest.mark.parametrize("few", [16, 4])
 def test_a_stray_links_with_a_set_that_its_batch_has_collapsed(spark, few, monkeypatch):
     # sets of one-word shingles in hash order: a word that 25 sets of a batch share is the first of each; the stray has two words before it
